@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -23,6 +24,8 @@ from feedloom.llm.pretokens import Pool, distinct, per_row, starts
 
 CACHE = "content string, tokenizer string, n_tokens long"
 VERSION = "1"
+#: Strings handed to the library at once; it keeps far more than the ids of each.
+AT_ONCE = 1000
 
 
 class Counter:
@@ -40,17 +43,18 @@ class Counter:
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self.counts = lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
             return
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already; each thread would keep memory of its own
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        self.counts = lambda texts: [len(x.ids) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.counts = lambda texts: [len(x.ids) for at in range(0, len(texts), AT_ONCE) for x in tokenizer.encode_batch_fast(texts[at : at + AT_ONCE], add_special_tokens=False)]
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
         if spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and model.get("type") == "BPE" and not model.get("dropout"):
-            self.pieces = Pool()
+            self.pieces = Pool(200_000)
             self.special = [x["content"].encode() for x in spec.get("added_tokens", [])]
 
     def rows(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -79,6 +83,12 @@ class Counter:
         return out
 
 
+@lru_cache(1)
+def counter_of(path: str) -> Counter:
+    """One for all tasks of a worker."""
+    return Counter(path)
+
+
 @lru_cache(4)
 def tokenizer_digest(path: str) -> str:
     """Of the tokenizer's file and of how texts are handed to it."""
@@ -114,7 +124,7 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, limit: in
     todo = rows.select("dk", "text").join(missing, "dk").select("content", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path)
+        counter = counter_of(path)
         for batch in batches:
             made = [counter.rows(data, offs) for _, _, data, offs in chunks(*text_bytes(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(made) if made else np.zeros(0, np.int64))], ["content", "n_tokens"])
