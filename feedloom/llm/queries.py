@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import byte_bpe, class_lm, media, simhash, suffix_dedup, token_counts, topk
+from feedloom.llm import byte_bpe, class_lm, html_text, media, quality, simhash, suffix_dedup, token_counts, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.scores(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), digests=True)
 
@@ -48,7 +56,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op3_class_lm, op4_token_counts, op6_exact_topk, op7_simhash, op9_byte_bpe, op10_media)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_html_text, op3_class_lm, op4_token_counts, op6_exact_topk, op7_simhash, op8_quality, op9_byte_bpe, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
