@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import byte_bpe, class_lm, html_text, media, quality, simhash, suffix_dedup, token_counts, topk
+from feedloom.llm import byte_bpe, class_lm, html_text, media, mixing, quality, simhash, suffix_dedup, token_counts, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -56,7 +60,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_html_text, op3_class_lm, op4_token_counts, op6_exact_topk, op7_simhash, op8_quality, op9_byte_bpe, op10_media)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_html_text, op3_class_lm, op4_token_counts, op5_mixing, op6_exact_topk, op7_simhash, op8_quality, op9_byte_bpe, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
