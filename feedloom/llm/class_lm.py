@@ -178,15 +178,16 @@ def scores(docs: DataFrame, text: str = "text") -> DataFrame:
     counted = rows.mapInArrow(count, "h long, e long, c long").groupBy("h").agg(F.first("e").alias("e"), F.sum("c").alias("c"))
     table = written(counted, "word-counts")
     train_docs = rows.where(F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) != OUT).select("doc_id").count()
-    top = table.orderBy(F.desc("c"), "h").limit(HELD).toPandas()  # at most HELD rows
-    frequent, held, held_counts = top["h"].to_numpy(np.int64).view(np.uint64)[:WORDS], top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
+    top = table.orderBy(F.desc("c"), "h").limit(HELD).toArrow()  # at most HELD rows
+    held, held_counts = np.ascontiguousarray(top["h"].to_numpy()).view(np.uint64), top["c"].to_numpy()
+    frequent = held[:WORDS]
     units_known = spark.createDataFrame([(int(x),) for x in frequent.view(np.int64)], "h long")
     total, types = table.agg(F.sum("c"), F.count("*")).first()
     total, types = (total or 0) + train_docs, types + (train_docs > 0)
-    by_ending = table.join(F.broadcast(units_known), "h", "left_anti").groupBy("e").agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).toPandas()  # at most ENDINGS rows
+    by_ending = table.join(F.broadcast(units_known), "h", "left_anti").groupBy("e").agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).toArrow()  # at most ENDINGS rows
     ending_n, ending_v = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    ending_n[by_ending["e"]], ending_v[by_ending["e"]] = by_ending["n"], by_ending["v"]
-    n1, n2 = float(by_ending["n1"].sum()), float(by_ending["n2"].sum())
+    ending_n[by_ending["e"].to_numpy()], ending_v[by_ending["e"].to_numpy()] = by_ending["n"].to_numpy(), by_ending["v"].to_numpy()
+    n1, n2 = (float(by_ending[c].to_numpy().sum()) for c in ("n1", "n2"))
     discount = min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
     u = WORDS + ENDINGS + 1
 
@@ -198,9 +199,10 @@ def scores(docs: DataFrame, text: str = "text") -> DataFrame:
         some = np.flatnonzero(cells)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(cells[some])], ["cell", "c"])
 
-    found = rows.mapInArrow(pairs_of, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toPandas()  # at most u * u rows
+    found = rows.mapInArrow(pairs_of, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toArrow()  # at most u * u rows
     pairs = np.zeros(u * u)
-    pairs[found["cell"].to_numpy(np.int64)] = found["c"]
+    pairs[found["cell"].to_numpy()] = found["c"].to_numpy()
+    del found
     pairs = pairs.reshape(u, u)
     model = Model(pairs, exchange(pairs), ending_n, ending_v, discount)
     shared = spark.sparkContext.broadcast((frequent, held, held_counts, model))
