@@ -150,3 +150,16 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     row = lambda kind: F.array(F.struct(F.lit(kind).alias("kind"), F.lit("").alias("column"), F.lit(None).cast("string").alias("old_value"), F.lit(None).cast("string").alias("new_value")))
     found = F.when(F.col("_o").isNull(), row("row_added")).when(F.col("_n").isNull(), row("row_removed")).otherwise(F.filter(cells, lambda x: ~x["old_value"].eqNullSafe(x["new_value"])))
     return both.select(*keys, F.explode(found).alias("c")).select("c.kind", *keys, "c.column", "c.old_value", "c.new_value")
+
+
+def positional_ids(df: DataFrame, order: list[str], name: str = "id") -> DataFrame:
+    """df with ids c0000001, ... in the given total order, without a window over all rows.
+
+    Rows go to ranges; a row's number is what the ranges before hold, of which the plan sees one row each, plus its place
+    in its own range.
+    """
+    ranged = cut(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+    sizes = ranged.groupBy("_p").count()
+    before = sizes.withColumn("_b", F.coalesce(F.sum("count").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_p", "_b")
+    n = (F.col("_b") + F.row_number().over(W.partitionBy("_p").orderBy(*order))).cast("string")
+    return ranged.join(F.broadcast(before), "_p").withColumn(name, F.concat(F.lit("c"), F.when(F.length(n) < 7, F.lpad(n, 7, "0")).otherwise(n))).drop("_p", "_b")
