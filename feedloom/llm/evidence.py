@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,13 +16,15 @@ from feedloom.llm.words import words_of
 #: The most labelled rows that a fit reads, the first by a hash of their id; words are hashed to BUCKETS, of which a head
 #: uses at most MARKERS.
 SAMPLE, BUCKETS, MARKERS = 20_000, 1 << 17, 256
+#: Bytes of text whose features are worked out at once.
+FEATURE_CHUNK = 1 << 19
 #: Shape features: bytes of these kinds by share of the text, then word length, words per line, distinct lines, length.
 KINDS = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"!?", b"#$%&*@^~=+", b"|<>{}[]\\", b".,;:")
 SHAPES = 2 * len(KINDS) + 4
 
 
-def features_of(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(shape of every row, row of each distinct word bucket of each row, that bucket)."""
+def features_of(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(shape of every row, row of each distinct word bucket of each row, that bucket, words of every row)."""
     n = len(offs) - 1
     size = np.maximum(np.diff(offs), 1).astype(np.float64)
     shape = np.zeros((n, SHAPES))
@@ -47,7 +49,7 @@ def features_of(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     letters = np.bincount(row, words.size, n)
     shape[:, -4:] = np.stack([letters / count, np.log(count / np.maximum(lines, 1)), distinct / np.maximum(lines, 1), np.log(count)], axis=1)
     keys = np.unique(row * BUCKETS + buckets)
-    return shape, keys // BUCKETS, keys % BUCKETS
+    return shape, keys // BUCKETS, keys % BUCKETS, words.counts
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -114,8 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, names: tuple[str, ...], text: str =
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, end, data, offs in chunks(*text_bytes(batch.column(0))):
-                shape, row, bucket = features_of(data, offs)
+            for at, end, data, offs in chunks(*text_bytes(batch.column(0)), FEATURE_CHUNK):
+                shape, row, bucket, _ = features_of(data, offs)
                 cuts = np.searchsorted(row, np.arange(end - at + 1))
                 yield pa.RecordBatch.from_arrays([pa.array(list(shape), pa.list_(pa.float64())), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(bucket, pa.int32())), batch.column(1).slice(at, end - at)], ["shape", "words", "y"])
 
@@ -130,20 +132,26 @@ def fit(docs: DataFrame, labels: DataFrame, names: tuple[str, ...], text: str =
     return {name: Head(shape, row, bucket, y[:, i]) for i, name in enumerate(names)}
 
 
-def probabilities(docs: DataFrame, heads: dict[str, Head], text: str = "text") -> DataFrame:
-    """docs with a column `_p_<name>` for each head's probability; one pass without a shuffle."""
+def probabilities(docs: DataFrame, heads: dict[str, Head], text: str = "text", more: tuple[str, ...] = (), derive: Callable[..., list[np.ndarray]] | None = None) -> DataFrame:
+    """docs with `_p_<name>` for each head's probability and `_tokens`, the number of words; one pass without a shuffle.
+
+    `derive` gets a batch's probabilities, an array for each head, and gives the doubles of the columns named in `more`, so
+    what depends on them needs no further pass through Python.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(heads)
-    names = [f"_p_{x}" for x in heads]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"{x} double" for x in names)])
+    names = [*(f"_p_{x}" for x in heads), "_tokens", *more]
+    kinds = [*("double" for _ in heads), "long", *("double" for _ in more)]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"{x} {k}" for x, k in zip(names, kinds, strict=True))])
     at = docs.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made: list[list[np.ndarray]] = [[] for _ in names]
-            for _, _, data, offs in chunks(*text_bytes(batch.column(at).cast(pa.string()))):
-                found = features_of(data, offs)
-                for out, head in zip(made, shared.value.values(), strict=True):
-                    out.append(head(*found))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(np.concatenate(x) if x else np.zeros(0)) for x in made)], [*batch.schema.names, *names])
+            p, tokens = [np.zeros(batch.num_rows) for _ in shared.value], np.zeros(batch.num_rows, np.int64)
+            for a, b, data, offs in chunks(*text_bytes(batch.column(at).cast(pa.string())), FEATURE_CHUNK):
+                *found, tokens[a:b] = features_of(data, offs)
+                for out, head in zip(p, shared.value.values(), strict=True):
+                    out[a:b] = head(*found)
+            columns = [*p, tokens, *(derive(*p) if derive else [])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x) for x in columns)], [*batch.schema.names, *names])
 
     return docs.mapInArrow(run, schema)

@@ -17,9 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import chunks, text_bytes, text_of, written
+from feedloom.llm.common import text_of, written
 from feedloom.llm.evidence import fit, probabilities
-from feedloom.llm.words import words_of
 
 DOMAINS = ("plain", "poor", "toxic")
 TARGETS = {"plain": 0.94, "poor": 0.02, "toxic": 0.04}
@@ -42,21 +41,6 @@ def rates(p: np.ndarray, history: np.ndarray, step: float, most: float) -> tuple
     return rate, point
 
 
-def weighed(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """docs with _tokens (words), _p_quality and _p_toxic."""
-    heads = fit(docs, labels, ("quality", "toxic"), text)
-    scored = probabilities(docs, heads, text)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in scored.schema), "_tokens long"])
-    at = scored.columns.index(text)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [words_of(data, offs).counts for _, _, data, offs in chunks(*text_bytes(batch.column(at).cast(pa.string())))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(made) if made else np.zeros(0, np.int64), pa.int64())], [*batch.schema.names, "_tokens"])
-
-    return scored.mapInArrow(run, schema)
-
-
 def _points(batch: pa.RecordBatch, at: int) -> np.ndarray:
     return posteriors(*(batch.column(i).to_numpy(zero_copy_only=False) for i in (at, at + 1)))
 
@@ -111,21 +95,18 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     text, so that its mean is the rate and copies of a row get equal values. Null texts are empty, with no tokens and the
     posteriors of their shape. Without labels all posteriors are the smoothed rates; an empty table gives no rows.
     """
-    rows = weighed(docs, labels, text)
-    compact = written(rows.select("_p_quality", "_p_toxic", "_tokens"), "mixing-posteriors")
+    heads = fit(docs, labels, ("quality", "toxic"), text)
+    only = docs.select(text_of(text).alias("text"))
+    compact = written(probabilities(only, heads).select("_p_quality", "_p_toxic", "_tokens"), "mixing-posteriors")
     history, step, _ = solve(compact, targets or TARGETS, most)
-    names = ("_p_plain", "_p_poor", "_p_toxic2", "_rate")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), *(f"{x} double" for x in names)])
-    at = rows.columns.index("_p_quality")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = _points(batch, at)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x) for x in p.T), pa.array(rates(p, history, step, most)[0])], [*batch.schema.names, *names])
+    def derive(quality: np.ndarray, toxic: np.ndarray) -> list[np.ndarray]:
+        p = posteriors(quality, toxic)
+        return [*(np.ascontiguousarray(x) for x in p.T), rates(p, history, step, most)[0]]
 
     u = F.pmod(F.xxhash64(F.lit("mix"), F.col("doc_id").cast("long"), text_of(text)), F.lit(1 << 30)) / float(1 << 30)
-    out = rows.mapInArrow(run, schema).withColumn("_copies", F.floor(F.col("_rate") + u).cast("int"))
-    return out.select(*docs.columns, "_tokens", "_p_plain", "_p_poor", F.col("_p_toxic2").alias("_p_toxic"), "_rate", "_copies")
+    out = probabilities(docs, heads, text, ("_m_plain", "_m_poor", "_m_toxic", "_rate"), derive)
+    return out.select(*docs.columns, "_tokens", *[F.col(f"_m_{d}").alias(f"_p_{d}") for d in DOMAINS], "_rate", F.floor(F.col("_rate") + u).cast("int").alias("_copies"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = 1.0, text: str = "text") -> DataFrame:
