@@ -13,9 +13,9 @@ from feedloom.llm.common import Rolling, chunks, keyed, text_bytes
 from feedloom.llm.pretokens import per_row
 from feedloom.llm.words import words_of
 
-#: The most labelled rows that a fit reads, the first by a hash of their id; words are hashed to BUCKETS, of which a head
-#: uses at most MARKERS.
-SAMPLE, BUCKETS, MARKERS = 20_000, 1 << 17, 256
+#: The most labelled rows that a fit reads, the first by a hash of their id; words are told apart by hashes below WORDS,
+#: wide enough that hardly any other word takes one of the at most MARKERS that a head uses for its own.
+SAMPLE, WORDS, MARKERS = 12_000, 1 << 40, 256
 #: Bytes of text whose features are worked out at once.
 FEATURE_CHUNK = 1 << 19
 #: Shape features: bytes of these kinds by share of the text, then word length, words per line, distinct lines, length.
@@ -24,7 +24,7 @@ SHAPES = 2 * len(KINDS) + 4
 
 
 def features_of(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(shape of every row, row of each distinct word bucket of each row, that bucket, words of every row)."""
+    """(shape of every row, row of each distinct word of each row, that word's hash, words of every row)."""
     n = len(offs) - 1
     size = np.maximum(np.diff(offs), 1).astype(np.float64)
     shape = np.zeros((n, SHAPES))
@@ -36,7 +36,7 @@ def features_of(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     words = words_of(data, offs)
     count = np.maximum(words.counts, 1)
     rolling = Rolling(words.data)
-    buckets = (rolling.span(words.begin, words.begin + words.size) % np.uint64(BUCKETS)).astype(np.int64)
+    buckets = (rolling.span(words.begin, words.begin + words.size) % np.uint64(WORDS)).astype(np.int64)
     row = np.repeat(np.arange(n), words.counts)
     line = np.append(offs[:-1], np.flatnonzero(data == 10) + 1)
     line = np.unique(line[line < len(data)])
@@ -48,8 +48,8 @@ def features_of(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     distinct = np.bincount(pairs["f0"], minlength=n)
     letters = np.bincount(row, words.size, n)
     shape[:, -4:] = np.stack([letters / count, np.log(count / np.maximum(lines, 1)), distinct / np.maximum(lines, 1), np.log(count)], axis=1)
-    keys = np.unique(row * BUCKETS + buckets)
-    return shape, keys // BUCKETS, keys % BUCKETS, words.counts
+    keys = np.unique(row * WORDS + buckets)
+    return shape, keys // WORDS, keys % WORDS, words.counts
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -73,11 +73,12 @@ class Head:
         inside = known[row]
         row, bucket = place[row[inside]], bucket[inside]
         self.centre, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-        with_, hits = np.bincount(bucket, minlength=BUCKETS).astype(float), np.bincount(bucket, y[row], BUCKETS)
+        words, at = np.unique(bucket, return_inverse=True)
+        with_, hits = np.bincount(at).astype(float), np.bincount(at, y[row])
         p = k / n
         score = (hits - with_ * p) / np.sqrt(with_ * p * (1 - p) + 1)
         best = np.argsort(-np.abs(score), kind="stable")[:MARKERS]
-        self.markers = np.sort(best[np.abs(score[best]) > 5])
+        self.markers = np.sort(words[best[np.abs(score[best]) > 5]])
         z = self.design(x, row, bucket, n)
         w = np.zeros(z.shape[1])
         w[0] = np.log(p / (1 - p))
@@ -119,15 +120,15 @@ def fit(docs: DataFrame, labels: DataFrame, names: tuple[str, ...], text: str =
             for at, end, data, offs in chunks(*text_bytes(batch.column(0)), FEATURE_CHUNK):
                 shape, row, bucket, _ = features_of(data, offs)
                 cuts = np.searchsorted(row, np.arange(end - at + 1))
-                yield pa.RecordBatch.from_arrays([pa.array(list(shape), pa.list_(pa.float64())), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(bucket, pa.int32())), batch.column(1).slice(at, end - at)], ["shape", "words", "y"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(shape), pa.list_(pa.float64())), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(bucket, pa.int64())), batch.column(1).slice(at, end - at)], ["shape", "words", "y"])
 
-    got = rows.mapInArrow(run, "shape array<double>, words array<int>, y array<double>").toArrow()
+    got = rows.mapInArrow(run, "shape array<double>, words array<bigint>, y array<double>").toArrow()
     if not got.num_rows:
         empty = np.zeros(0, np.int64)
         return {name: Head(np.zeros((0, SHAPES)), empty, empty, np.zeros(0)) for name in names}
     shape = got["shape"].combine_chunks().flatten().to_numpy().reshape(-1, SHAPES)
     words = got["words"].combine_chunks()
-    row, bucket = np.repeat(np.arange(len(words)), words.value_lengths().to_numpy()), words.flatten().to_numpy().astype(np.int64)
+    row, bucket = np.repeat(np.arange(len(words)), words.value_lengths().to_numpy()), words.flatten().to_numpy()
     y = got["y"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, len(names))
     return {name: Head(shape, row, bucket, y[:, i]) for i, name in enumerate(names)}
 

@@ -169,23 +169,28 @@ def suffixes(blocks: list[Block], host: str) -> Iterator[tuple[int, int]]:
 
 
 def main_text(blocks: list[Block], found: np.ndarray) -> str:
-    """Content, and of open blocks the tokens that no repeated run covers; `found` has where such runs begin."""
-    total = sum(len(b.text.split(" ")) for b in blocks if b.zone != CONTENT)
-    covered = np.zeros(total + LONG + 1, np.int64)
-    np.add.at(covered, found, 1)
-    np.add.at(covered, found + LONG, -1)
-    covered = np.cumsum(covered) > 0
-    out, at = [], 0
-    for b in blocks:
+    """Content, and what repeated runs leave of open blocks; `found` has where the runs of LONG tokens begin.
+
+    A block goes if runs cover it all. Else it loses the runs that lie inside it: one that only reaches into it from
+    another block doesn't take its first or last words.
+    """
+    sizes = [len(b.text.split(" ")) if b.zone != CONTENT else 0 for b in blocks]
+    ends = np.cumsum(sizes)
+    everywhere = np.zeros(int(ends[-1]) + LONG + 1 if blocks else LONG + 1, np.int64)
+    inside = everywhere.copy()
+    whole = found[np.searchsorted(ends, found, "right") == np.searchsorted(ends, found + LONG - 1, "right")]
+    for cover, at in ((everywhere, found), (inside, whole)):
+        np.add.at(cover, at, 1)
+        np.add.at(cover, at + LONG, -1)
+    everywhere, inside = (np.cumsum(x) > 0 for x in (everywhere, inside))
+    out = []
+    for b, size, end in zip(blocks, sizes, ends, strict=True):
         if b.zone == CONTENT:
             out.append(b.text)
-            continue
-        tokens = b.text.split(" ")
-        if b.zone == OPEN:
-            left = " ".join(t for t, gone in zip(tokens, covered[at : at + len(tokens)], strict=True) if not gone)
+        elif b.zone == OPEN and not everywhere[end - size : end].all():
+            left = " ".join(t for t, gone in zip(b.text.split(" "), inside[end - size : end], strict=True) if not gone)
             if left:
                 out.append(left)
-        at += len(tokens)
     return " ".join(out)
 
 
