@@ -25,7 +25,7 @@ def folded(sums: list[F.Column]) -> F.Column:
     for total in reversed(sums):
         value = total + carry
         out.append(F.lpad(F.lower(F.hex((value % base).cast("long"))), 8, "0"))
-        carry = F.floor(value / base).cast("decimal(38,0)")
+        carry = ((value - value % base) / base).cast("decimal(38,0)")  # the quotient itself would be rounded
     return F.concat(*reversed(out))
 
 
