@@ -67,9 +67,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op6_exact_topk": """
 with rows as (
-  select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as v from embeddings
+  select vec_id, [floor(256 * x::double) for x in embedding] as v from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
 ), scores as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
   from rows q join rows c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
