@@ -15,7 +15,7 @@ from feedloom.llm.words import words_of
 
 #: The most labelled rows that a fit reads, the first by a hash of their id; words are told apart by hashes below WORDS,
 #: wide enough that hardly any other word takes one of the at most MARKERS that a head uses for its own.
-SAMPLE, WORDS, MARKERS = 12_000, 1 << 40, 256
+SAMPLE, WORDS, MARKERS = 8_000, 1 << 40, 256
 #: Bytes of text whose features are worked out at once.
 FEATURE_CHUNK = 1 << 19
 #: Shape features: bytes of these kinds by share of the text, then word length, words per line, distinct lines, length.
@@ -130,6 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, names: tuple[str, ...], text: str =
     words = got["words"].combine_chunks()
     row, bucket = np.repeat(np.arange(len(words)), words.value_lengths().to_numpy()), words.flatten().to_numpy()
     y = got["y"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, len(names))
+    del got, words
     return {name: Head(shape, row, bucket, y[:, i]) for i, name in enumerate(names)}
 
 

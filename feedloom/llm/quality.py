@@ -55,7 +55,7 @@ def assessed(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFram
     below 0.5. Null and empty texts are judged by their shape (no words) like any other; null sources and languages are the
     empty ones. Null labels don't count; without labels (or with one class) the classifier gives the smoothed rate, 0.5
     at most doubtful, and all is kept. Repeated rows are judged alike; an empty table gives no rows. The fit reads at most
-    12,000 labelled documents; rates are sums over all documents.
+    8,000 labelled documents; rates are sums over all documents.
     """
     heads = fit(docs, labels, ("quality", "toxic"), text)
     site = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_{c}") for c in ("source", "lang")]
