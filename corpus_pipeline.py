@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import byte_bpe, mixing, quality, simhash, suffix_dedup
+from feedloom.llm import byte_bpe, mixing, quality, shingles, suffix_dedup
 from feedloom.llm.common import written
 
 ORACLE_SQL = None
@@ -27,8 +27,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return simhash.keep_one(docs)
+    """One document of each group whose sets of five-word shingles are linked by Jaccard similarity of 0.8 or more stays."""
+    return shingles.keep_one(docs)
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,130 @@
+"""Near-duplicates by exact Jaccard similarity of word shingles.
+
+Texts with equal sets of shingles are one node. Candidates come from bands of minhashes: in each band, nodes with the same
+key meet, all with all in small groups; in larger ones all meet a few of them that are drawn anew for each band, so the
+candidates grow with the members, not with their square. Candidates are links only if the Jaccard similarity of their whole
+sets reaches the threshold.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from feedloom.llm.common import chunks, keyed, mixed, ranges, text_bytes, text_of, written
+from feedloom.llm.components import components
+from feedloom.llm.words import words_of
+from feedloom.llm.xxh import xxh64
+
+#: Words of a shingle and the similarity that links; a pair at 0.8 meets in one of the bands with probability 0.998.
+SHINGLE, SIMILAR = 5, 0.8
+BANDS, DEPTH = 16, 5
+#: Nodes of a key that meet all with all, and how many nodes all others of a larger group meet.
+SMALL, CENTRES = 16, 2
+FACTORS = np.random.Generator(np.random.PCG64(20240806)).integers(1, 1 << 63, (BANDS, DEPTH, 2), dtype=np.uint64) | np.uint64(1)
+
+
+def sets_of(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of the distinct shingles of every row, in order; texts of fewer words are one shingle, without words none."""
+    words = words_of(data, offs)
+    number = np.where(words.counts > 0, np.maximum(words.counts - shingle + 1, 1), 0)
+    first = ranges(words.rows[:-1], number)
+    if not len(first):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    last = np.minimum(first + shingle - 1, np.repeat(words.rows[1:], number) - 1)
+    hashes = xxh64(words.data, words.begin[first], words.begin[last] + words.size[last] - words.begin[first])
+    row = np.repeat(np.arange(len(number)), number)
+    order = np.lexsort((hashes, row))
+    row, hashes = row[order], hashes[order]
+    new = np.r_[True, (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])]
+    return row[new], hashes[new]
+
+
+def sketches_of(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the set, keys of the bands) of every row; zeros without words."""
+    row, hashes = sets_of(data, offs, shingle)
+    n = len(offs) - 1
+    whole, keys = np.zeros(n, np.uint64), np.zeros((n, BANDS), np.uint64)
+    if len(row):
+        at = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        some = row[at]
+        whole[some] = mixed(np.add.reduceat(mixed(hashes), at)) | np.uint64(1)
+        for band in range(BANDS):
+            key = np.full(len(at), band + 1, np.uint64)
+            for factor, more in FACTORS[band]:
+                key = mixed(key ^ np.minimum.reduceat(hashes * factor + more, at))
+            keys[some, band] = key
+    return whole, keys
+
+
+def similarities(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
+    """Jaccard similarity of each row's two sets."""
+    row, hashes = (np.concatenate(z) for z in zip(x, y, strict=True))
+    order = np.lexsort((hashes, row))
+    row, hashes = row[order], hashes[order]
+    both = np.bincount(row[1:][(row[1:] == row[:-1]) & (hashes[1:] == hashes[:-1])], minlength=n)
+    return both / np.maximum(np.bincount(row, minlength=n) - both, 1)
+
+
+def links(candidates: DataFrame, docs: DataFrame, shingle: int, similar: float, text: str) -> DataFrame:
+    """The candidates u, v (keys dk of docs) whose sets are so similar."""
+    wanted = candidates.select(F.explode(F.array("u", "v")).alias("dk")).distinct()
+    texts = written(keyed(docs, text=text).select("dk", "text").join(wanted, "dk", "left_semi").dropDuplicates(["dk"]), "candidate-texts")
+    both = candidates.join(texts.select(F.col("dk").alias("u"), F.col("text").alias("x")), "u").join(texts.select(F.col("dk").alias("v"), F.col("text").alias("y")), "v")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            other, other_offs = text_bytes(batch.column(3))
+            keep = []
+            for at, end, data, offs in chunks(*text_bytes(batch.column(2))):
+                step = max(1, (end - at) // 8)
+                for a in range(at, end, step):
+                    b = min(a + step, end)
+                    lo, hi = offs[a - at], offs[b - at]
+                    x = sets_of(data[lo:hi], offs[a - at : b - at + 1] - lo, shingle)
+                    y = sets_of(other[other_offs[a] : other_offs[b]], other_offs[a : b + 1] - other_offs[a], shingle)
+                    keep.append(similarities(x, y, b - a) >= similar)
+            yield batch.select([0, 1]).filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
+
+    return both.select("u", "v", "x", "y").mapInArrow(run, "u long, v long")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, text: str = "text") -> DataFrame:
+    """doc_id, dk and component (equal for rows that links connect) of every row.
+
+    Null and empty texts and texts of white space have the empty set and are one component. Repeated rows have one key.
+    Texts are whole, of any length. Other columns are not read; an empty table gives no rows.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, end, data, offs in chunks(*text_bytes(batch.column(2))):
+                whole, keys = sketches_of(data, offs, shingle)
+                bands = pa.ListArray.from_arrays(pa.array(np.arange(end - at + 1) * BANDS, pa.int32()), pa.array(keys.view(np.int64).ravel()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, end - at) for i in (0, 1)), pa.array(whole.view(np.int64)), bands], ["doc_id", "dk", "sk", "bands"])
+
+    rows = written(keyed(docs, text=text).mapInArrow(run, "doc_id long, dk long, sk long, bands array<bigint>"), "shingle-sketches")
+    nodes = written(rows.groupBy("sk").agg(F.min(F.struct("dk", "bands")).alias("m")).select("sk", "m.dk", "m.bands"), "shingle-sets")
+    keys = nodes.where("sk <> 0").select("dk", F.posexplode("bands").alias("band", "key"))
+    orders = [F.min(F.struct(F.xxhash64(F.lit(i), "band", "dk").alias("o"), "dk")).alias(f"m{i}") for i in range(CENTRES)]
+    buckets = written(keys.groupBy("band", "key").agg(F.count("*").alias("n"), *orders).where("n > 1"), "buckets")
+    small = keys.join(buckets.where(F.col("n") <= SMALL).select("band", "key"), ["band", "key"])
+    pairs = small.join(small.select("band", "key", F.col("dk").alias("c")), ["band", "key"])
+    centres = buckets.where(F.col("n") > SMALL).select("band", "key", F.explode(F.array(*[f"m{i}.dk" for i in range(CENTRES)])).alias("c"))
+    met = pairs.unionByName(keys.join(centres, ["band", "key"])).where("dk <> c")
+    candidates = written(met.select(F.least("dk", "c").alias("u"), F.greatest("dk", "c").alias("v")).distinct(), "candidates")
+    roots = components(links(candidates, docs, shingle, similar, text))
+    named = nodes.select("sk", F.col("dk").alias("node")).join(roots, "node", "left").select("sk", F.coalesce("root", "node").alias("component"))
+    return rows.select("doc_id", "dk", "sk").join(named, "sk").select("doc_id", "dk", "component")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, text: str = "text") -> DataFrame:
+    """docs with one row of each component: that of the smallest id (null last), then of the smallest hash."""
+    found = near_duplicates(docs, shingle, similar, text)
+    keep = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "dk")).alias("m")).select(F.col("m.dk").alias("_dk"))
+    key = F.xxhash64(F.col("doc_id").cast("long"), text_of(text))
+    return docs.withColumn("_dk", key).join(keep, "_dk", "left_semi").dropDuplicates(["_dk"]).select(*docs.columns)

@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+from itertools import combinations
+
+import numpy as np
+from tests.llm.helpers import corpus, documents, words
+
+import corpus_pipeline
+from feedloom.llm import shingles, simhash
+from feedloom.llm.components import forest
+
+
+def shingled(text):
+    w = words(text)
+    return {" ".join(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def near_copies():
+    """Pairs of texts of 80 words that differ in one word, so 71 of 81 five-word shingles agree, and pairs at 0.6."""
+    base = [[f"d{i}w{k}" for k in range(80)] for i in range(12)]
+    rows = [(1000 + 10 * i, " ".join(w)) for i, w in enumerate(base)]
+    rows += [(1001 + 10 * i, " ".join([*w[:40], "other", *w[41:]])) for i, w in enumerate(base)]
+    return rows + [(1002 + 10 * i, " ".join([*w[:20], "this", *w[21:40], "that", *w[41:60], "those", *w[61:]])) for i, w in enumerate(base)]
+
+
+def test_stage_takes_five_words_and_0_8(spark):
+    rows = corpus(4) + near_copies()
+    texts = sorted({(i is None, i or 0, t or "") for i, t in rows})
+    sets = [shingled(t) for *_, t in texts]
+    linked = [(a, b) for a, b in combinations(range(len(sets)), 2) if jaccard(sets[a], sets[b]) >= 0.8]
+    root = forest(len(sets), np.array([a for a, _ in linked]), np.array([b for _, b in linked]))
+    want = [min(texts[k] for k in np.flatnonzero(root == r)) for r in set(root)]
+    docs = documents(spark, rows)
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect()) == sorted(x[:2] for x in want)
+    # what the query's radius of 3 bits over three words leaves in
+    assert simhash.keep_one(docs).count() > len(want)
+
+
+def test_exact_similarity():
+    a, b = "a b c d e f", "x a b c d e f g h"
+    sets = [shingles.sets_of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)])) for t in (a, b)]
+    assert shingles.similarities(*sets, 1).tolist() == [jaccard(shingled(a), shingled(b))]
+
+
+def test_empty(spark):
+    assert shingles.keep_one(documents(spark, corpus()).limit(0)).count() == 0
