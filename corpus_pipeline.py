@@ -15,6 +15,8 @@ from feedloom.llm import byte_bpe, mixing, quality, shingles, suffix_dedup
 from feedloom.llm.common import written
 
 ORACLE_SQL = None
+#: The most copies of a document that mixing makes on average.
+MOST = 16.0
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,8 +41,12 @@ def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay at the rates that bring the domains' token totals to their targets."""
-    return mixing.sampled(docs, _labels(spark, sf_dir))
+    """Documents stay, or repeat, at the rates that bring the domains' token totals to their targets.
+
+    Earlier stages leave fewer poor and toxic tokens than the targets ask, so rates go up to MOST. The classifier learns
+    from all labelled documents, also those that earlier stages removed.
+    """
+    return mixing.sampled(docs, _labels(spark, sf_dir), most=MOST, learn=spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A classifier learnt from the labelled table gives every document posteriors over the domains plain, poor and toxic. Rates
 r >= 0 of documents are fitted so that the expected token totals of the domains, sum over documents of rate x tokens x
-posterior, come close to the targets in least squares. The projected gradient is distributed: a round sends each task
+posterior, come close to the targets in least squares, weighted so that scarce domains count as much as large ones. The projected gradient is distributed: a round sends each task
 the residuals of all rounds so far (a number for each domain), from which it works out its documents' rates anew, and
 adds up one total for each domain. Steps are taken in the metric of tokens, so documents with equal posteriors have
 equal rates, and start from rate 1, so rates move no further than the targets ask.
@@ -10,6 +10,7 @@ equal rates, and start from rate 1, so rates move no further than the targets as
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,6 +24,9 @@ from feedloom.llm.evidence import fit, probabilities
 DOMAINS = ("plain", "poor", "toxic")
 TARGETS = {"plain": 0.94, "poor": 0.02, "toxic": 0.04}
 ROUNDS, TOLERANCE = 60, 1e-5
+#: A share further than this from its target is missed.
+MISSED = 0.01
+LOG = logging.getLogger(__name__)
 
 
 def posteriors(quality: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -74,28 +78,39 @@ def solve(compact: DataFrame, targets: dict[str, float], most: float) -> tuple[n
     if not size:
         return history, 0.0, now
     gram = totals(history, 0.0, True).reshape(k, k) / size
-    step = 1 / max(float(np.linalg.eigvalsh(gram)[-1]), 1e-12)
+    # residuals count in the metric of the inverse Gram matrix, in which a scarce domain moves as fast as a large one
+    metric, step = np.linalg.pinv(gram, rcond=1e-9, hermitian=True), 1.0
     # the budget keeps what the domain with the largest target has
     anchor = int(np.argmax(weights))
     target = weights * now[anchor] / weights[anchor] / size
     for _ in range(ROUNDS):
         residual = now / size - target
-        history = np.vstack([history, residual])
+        history = np.vstack([history, metric @ residual])
         if np.abs(residual).max() < TOLERANCE or len(history) > 1 and np.abs(history[-1] - history[-2]).max() < TOLERANCE / 10:
             break
         now = totals(history, step, False)
-    return history, step, totals(history, step, False, True) / size
+    reached = totals(history, step, False, True)
+    report(weights, reached / max(reached.sum(), 1e-300), reached.sum() / size)
+    return history, step, reached / size
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = 1.0, text: str = "text") -> DataFrame:
+def report(weights: np.ndarray, shares: np.ndarray, kept: float) -> None:
+    """Logs the expected shares against their targets, as a warning if one is missed."""
+    missed = np.abs(shares - weights).max() > MISSED
+    told = ", ".join(f"{d} {x:.4f} of {w:.4f}" for d, x, w in zip(DOMAINS, shares, weights, strict=True))
+    LOG.log(logging.WARNING if missed else logging.INFO, "mixing %s its targets: %s; tokens %.4f of the input", "misses" if missed else "meets", told, kept)
+
+
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = 1.0, text: str = "text", learn: DataFrame | None = None) -> DataFrame:
     """docs with _tokens, _p_plain, _p_poor, _p_toxic, _rate and _copies.
 
     Rates lie between 0 and `most`; with the default no document is repeated. The token budget is such that the domain
-    with the largest target keeps its present total. _copies is the rate rounded up or down at random by a hash of id and
+    with the largest target keeps its present total; a domain that has too little at the rate `most` misses its target. The
+    expected shares are logged, as a warning if one is missed. The classifier learns from the labelled rows of `learn`, by default of docs. _copies is the rate rounded up or down at random by a hash of id and
     text, so that its mean is the rate and copies of a row get equal values. Null texts are empty, with no tokens and the
     posteriors of their shape. Without labels all posteriors are the smoothed rates; an empty table gives no rows.
     """
-    heads = fit(docs, labels, ("quality", "toxic"), text)
+    heads = fit(docs if learn is None else learn, labels, ("quality", "toxic"), text)
     only = docs.select(text_of(text).alias("text"))
     compact = written(probabilities(only, heads).select("_p_quality", "_p_toxic", "_tokens"), "mixing-posteriors")
     history, step, _ = solve(compact, targets or TARGETS, most)
@@ -115,9 +130,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     return rows.select("doc_id", F.col("_tokens").alias("n_tokens"), *[F.col(f"_p_{d}").alias(f"p_{d}") for d in DOMAINS], F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))
 
 
-def sampled(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = 1.0, text: str = "text") -> DataFrame:
+def sampled(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = 1.0, text: str = "text", learn: DataFrame | None = None) -> DataFrame:
     """Each row of docs as often as its copies say, with docs' columns."""
-    rows = mixed(docs, labels, targets, most, text).where("_copies > 0")
+    rows = mixed(docs, labels, targets, most, text, learn).where("_copies > 0")
     if most > 1:
         rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
     return rows.select(*docs.columns)
