@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import chunks, ranges, text_bytes, text_of
-from feedloom.llm.pretokens import Pool, distinct, per_row, starts
+from feedloom.llm.common import CHUNK, chunks, distinct, pieces, ranges, text_bytes, text_of
+from feedloom.llm.pretokens import Pool, may_cut, per_row, starts
 
 
 class Vocabulary:
@@ -292,20 +292,36 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary.load(path)
 
 
+@lru_cache(2)
+def tables(path: str) -> Tables:
+    """One for all tasks of a worker."""
+    return Tables(vocabulary(path))
+
+
 class Encoder:
     """Encodes many texts at once; each distinct match of the pattern goes through the prefix table once per worker."""
 
-    def __init__(self, v: Vocabulary):
-        self.v, self.pool, self.tables = v, Pool(), Tables(v)
-
-    def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all rows, where each row's ids begin, and the end)."""
+    def __init__(self, v: Vocabulary, made: Tables | None = None):
+        self.v, self.pool, self.tables = v, Pool(), made or Tables(v)
+
+    def encode(self, data: np.ndarray, offs: np.ndarray, limit: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows, where each row's ids begin, and the end). Rows beyond `limit` bytes go piece by piece."""
+        cuts = pieces(data, offs, may_cut, limit)
+        ids, bounds, done = [], [np.zeros(1, np.int64)], 0
+        for _, _, part, edges in chunks(data, cuts, limit):
+            made, ends = self._encode(part, edges)
+            ids.append(made)
+            bounds.append(ends[1:] + done)
+            done += len(made)
+        at = np.concatenate(bounds)
+        return np.concatenate(ids) if ids else np.zeros(0, np.uint32), at if cuts is offs else at[np.searchsorted(cuts, offs)]
+
+    def _encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         begin = starts(data, offs)
         if not len(begin):
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
-        keys, a, b, inverse = distinct(data, begin)
-        raw = data.tobytes()
-        places = self.pool.lookup(keys, lambda missing: self.tables.encode([raw[a[i] : b[i]] for i in missing]))[inverse]
+        found, _, inverse = distinct(data, begin)
+        places = self.pool.lookup(found, self.tables.encode)[inverse]
         sizes = np.concatenate([[0], np.cumsum(self.pool.size[places])])
         return self.pool.gather(places), sizes[per_row(begin, offs)]
 
@@ -322,7 +338,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
     Returns the columns of `keep` with n_tokens and, either `token_ids array<int>` and `decoded binary`, or with `digests`
     ids_sha256 and decoded_sha256 (of the ids as little-endian 32-bit integers and of the decoded bytes). Each match of
     the pattern is encoded by itself and there are no special tokens. Null and empty texts give no ids. Texts of any length
-    are encoded whole: a chunk holds one row at least. Rows stay as they are, repeated ones too; other columns are dropped,
+    are encoded whole; a long one is cut where a match begins in any case and goes through piece by piece. Rows stay as they are, repeated ones too; other columns are dropped,
     so their names may clash with the new ones. The work is one pass without a shuffle; the path must be one that every
     executor has, as an installed package's files are.
     """
@@ -331,7 +347,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
     types = ", ".join(f"k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary(path))
+        encoder = Encoder(vocabulary(path), tables(path))
         for batch in batches:
             for at, end, data, offs in chunks(*text_bytes(batch.column(len(keep)))):
                 ids, bounds = encoder.encode(data, offs)

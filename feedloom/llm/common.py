@@ -7,10 +7,10 @@ text counts as empty and a null id is an id of its own that sorts before all oth
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +22,11 @@ CHUNK = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else (as in tests) a local one set here."""
+    """The folder that driver and executors share: spark.checkpoint.dir; only a local session may do without one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="feedloom-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/") if "://" in base else "file://" + base.rstrip("/")
@@ -77,8 +79,39 @@ def chunks(data: np.ndarray, offs: np.ndarray, limit: int = CHUNK) -> Iterator[t
         at = end
 
 
+def pieces(data: np.ndarray, offs: np.ndarray, may_cut: Callable[[np.ndarray, np.ndarray], np.ndarray], limit: int = CHUNK) -> np.ndarray:
+    """offs with further cuts, so that rows longer than `limit` become pieces of about that size.
+
+    A row may be cut between two bytes for which may_cut(bytes before, bytes after) holds; the last such place up to the
+    limit is taken, or else the first one after it.
+    """
+    cuts = [offs]
+    for row in np.flatnonzero(np.diff(offs) > limit):
+        at, end = int(offs[row]), int(offs[row + 1])
+        while end - at > limit:
+            low, high, found = at, at + limit, np.zeros(0, np.int64)
+            while not len(found) and low < end - 1:
+                found = low + 1 + np.flatnonzero(may_cut(data[low : high - 1], data[low + 1 : high]))
+                low, high = high - 1, min(high + limit, end)
+            if not len(found):
+                break
+            at = int(found[-1] if found[0] <= at + limit and found[-1] <= at + limit else found[0])
+            cuts.append(np.array([at]))
+    return np.sort(np.concatenate(cuts)) if len(cuts) > 1 else offs
+
+
+def at_space(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Whether a space or control character of ASCII white space follows a byte that is none."""
+    white = lambda x: (x == 32) | ((x >= 9) & (x <= 13))
+    return white(after) & ~white(before)
+
+
 class Rolling:
-    """Polynomial hashes modulo 2**64 of any substring of an array of bytes, from prefix sums."""
+    """Polynomial hashes modulo 2**64 of any substring of an array of bytes, from prefix sums.
+
+    Some strings over two letters, a thousand bytes long and more, collide by their structure, whatever the base. So the
+    hashes only propose which strings are equal, and whoever uses them compares the bytes, or hashes short strings only.
+    """
 
     BASE = np.uint64(0x9E3779B97F4A7C15)
     INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -87,10 +120,14 @@ class Rolling:
 
     @classmethod
     def powers(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls._powers) < n:
-            n = max(n, CHUNK + 1)
-            cls._powers, cls._inverses = (np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n - 1, b, np.uint64), dtype=np.uint64)]) for b in (cls.BASE, cls.INVERSE))
-        return cls._powers, cls._inverses
+        """Powers of the base and its inverse; those of a chunk are kept, those of a longer text are not."""
+        if len(cls._powers) >= n:
+            return cls._powers, cls._inverses
+        size = max(n, CHUNK + 1)
+        made = tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, b, np.uint64), dtype=np.uint64)]) for b in (cls.BASE, cls.INVERSE))
+        if size == CHUNK + 1:
+            cls._powers, cls._inverses = made
+        return made
 
     def __init__(self, data: np.ndarray):
         n = len(data)
@@ -125,12 +162,20 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int64) + np.repeat(starts.astype(np.int64) - (ends - lengths), lengths)
 
 
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """A session setting for the jobs run inside; what was set before comes back."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+def distinct(data: np.ndarray, begin: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(bytes of each distinct piece, where it first begins, every piece's place among them).
+
+    Pieces lie one after the other, up to the end of data. Equal hashes only propose that pieces are equal; the bytes decide.
+    """
+    raw, end = data.tobytes(), np.append(begin[1:], len(data))
+    _, where, inverse = np.unique(Rolling(data).span(begin, end), return_index=True, return_inverse=True)
+    sizes, first = end - begin, begin[where]
+    equal = bool((sizes == sizes[where][inverse]).all())
+    if equal and len(begin):
+        equal = bool((data[begin[0] :] == data[ranges(first[inverse], sizes)]).all())
+    if not equal:
+        known: dict[bytes, int] = {}
+        inverse = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip(begin.tolist(), end.tolist(), strict=True)], np.int64)
+        where = np.unique(inverse, return_index=True)[1]
+        first = begin[where]
+    return [raw[a:b] for a, b in zip(first.tolist(), end[where].tolist(), strict=True)], first, inverse

@@ -1,21 +1,22 @@
 """Mixing to target weights with soft membership.
 
 A classifier learnt from the labelled table gives every document posteriors over the domains plain, poor and toxic. Rates
-r >= 0 of documents are fitted so that the expected token totals of the domains, sum over documents of rate x tokens x
-posterior, come close to the targets in least squares, weighted so that scarce domains count as much as large ones. The projected gradient is distributed: a round sends each task
-the residuals of all rounds so far (a number for each domain), from which it works out its documents' rates anew, and
-adds up one total for each domain. Steps are taken in the metric of tokens, so documents with equal posteriors have
-equal rates, and start from rate 1, so rates move no further than the targets ask.
+r >= 0 of documents are fitted by projected-gradient least squares: the expected token totals of the domains, the sums over
+documents of rate x tokens x posterior, come to their targets, and of all rates that do so those nearest to 1 are taken.
+
+The state is one multiplier for each domain. A round works out the gradient in them with one distributed sum over all
+documents (each document's rate is what the multipliers make of its posteriors, projected on r >= 0), scales it by the
+inverse Gram matrix of the documents whose rates are above the bound, and steps as far as the objective falls. Sums are
+native; texts go through Python once.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Iterator
+import uuid
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import text_of, written
@@ -23,116 +24,132 @@ from feedloom.llm.evidence import fit, probabilities
 
 DOMAINS = ("plain", "poor", "toxic")
 TARGETS = {"plain": 0.94, "poor": 0.02, "toxic": 0.04}
-ROUNDS, TOLERANCE = 60, 1e-5
-#: A share further than this from its target is missed.
-MISSED = 0.01
+#: Weight of the rates' distance from 1 against that of the totals from their targets.
+RIDGE = 1e-6
+#: A gradient below this, in shares of all tokens, is none; a share further than MISSED from its target is missed.
+TOLERANCE, MISSED = 1e-7, 0.01
 LOG = logging.getLogger(__name__)
 
 
-def posteriors(quality: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    return np.stack([quality * (1 - toxic), 1 - quality, quality * toxic], axis=1)
+def posteriors(quality: Column, toxic: Column) -> list[Column]:
+    return [quality * (1 - toxic), 1 - quality, quality * toxic]
+
+
+def rate_of(p: list[Column], multipliers: np.ndarray, most: float = np.inf) -> Column:
+    """The projection of 1 - posteriors x multipliers on 0 .. most."""
+    free = F.lit(1.0) - sum((x * float(m) for x, m in zip(p, multipliers, strict=True)), F.lit(0.0))
+    return F.greatest(free, F.lit(0.0)) if np.isinf(most) else F.least(F.greatest(free, F.lit(0.0)), F.lit(float(most)))
 
 
-def rates(p: np.ndarray, history: np.ndarray, step: float, most: float) -> tuple[np.ndarray, np.ndarray]:
-    """(rates, the point that the next gradient is taken at) after the rounds of residuals in history."""
-    rate = point = np.ones(len(p))
-    t = 1.0
-    for residual in history:
-        new = np.clip(point - step * (p @ residual), 0, most)
-        after = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        point = new + (t - 1) / after * (new - rate)
-        rate, t = new, after
-    return rate, point
+class Sums:
+    """What one round adds up over all documents, at given multipliers, as shares of all tokens."""
 
+    def __init__(self, compact: DataFrame, most: float):
+        self.compact, self.most = compact, most
+        self.p = posteriors(F.col("p_quality"), F.col("p_toxic"))
+        self.size = float(compact.agg(F.sum("tokens")).first()[0] or 0)
 
-def _points(batch: pa.RecordBatch, at: int) -> np.ndarray:
-    return posteriors(*(batch.column(i).to_numpy(zero_copy_only=False) for i in (at, at + 1)))
+    def at(self, multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """(totals by domain, Gram matrix of the documents inside the bounds, sum of the rates' conjugate)."""
+        k, n = len(self.p), F.col("tokens").cast("double")
+        free = F.lit(1.0) - sum((x * float(m) for x, m in zip(self.p, multipliers, strict=True)), F.lit(0.0))
+        rate = rate_of(self.p, multipliers, self.most)
+        inside = (free > 0) & (free < self.most) if np.isfinite(self.most) else free > 0
+        cells = [(i, j) for i in range(k) for j in range(i, k)]
+        sums = [F.sum(n * rate * x) for x in self.p]
+        sums += [F.sum(F.when(inside, n * self.p[i] * self.p[j]).otherwise(0.0)) for i, j in cells]
+        sums.append(F.sum(n * (rate * free - rate * rate / 2)))
+        got = np.array([float(x or 0) for x in self.compact.agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)]).first()]) / self.size
+        gram = np.zeros((k, k))
+        for (i, j), x in zip(cells, got[k:], strict=False):
+            gram[i, j] = gram[j, i] = x
+        return got[:k], gram, float(got[-1])
 
 
-def solve(compact: DataFrame, targets: dict[str, float], most: float) -> tuple[np.ndarray, float, np.ndarray]:
-    """(history of residuals, step, expected shares of the total) for rows of _p_quality, _p_toxic, _tokens."""
+def solve(compact: DataFrame, targets: dict[str, float], most: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
+    """(multipliers, expected totals as shares of the tokens given) for rows of p_quality, p_toxic and tokens.
+
+    The budget is such that the domain with the largest target keeps its present total. Rounds end when
+    there is no gradient left, or no step along it betters the objective any more; as that is convex, this is the optimum.
+    """
     weights = np.array([max(0.0, float(targets.get(d, 0.0))) for d in DOMAINS])
     if not weights.sum():
         raise ValueError("a target must be positive")
     weights = weights / weights.sum()
-    k = len(DOMAINS)
-
-    def totals(history: np.ndarray, step: float, gram: bool, last: bool = False) -> np.ndarray:
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros(k * k if gram else k)
-            for batch in batches:
-                p, n = _points(batch, 0), batch.column(2).to_numpy(zero_copy_only=False).astype(float)
-                rate, point = rates(p, history, step, most)
-                out += ((p * n[:, None]).T @ p).ravel() if gram else (n * (rate if last else point)) @ p
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out))), pa.array(out)], ["i", "v"])
-
-        got = compact.mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
-        out = np.zeros(k * k if gram else k)
-        for r in got:
-            out[r["i"]] = r["v"]
-        return out
-
-    history = np.zeros((0, k))
-    now = totals(history, 0.0, False)
-    size = now.sum()
-    if not size:
-        return history, 0.0, now
-    gram = totals(history, 0.0, True).reshape(k, k) / size
-    # residuals count in the metric of the inverse Gram matrix, in which a scarce domain moves as fast as a large one
-    metric, step = np.linalg.pinv(gram, rcond=1e-9, hermitian=True), 1.0
-    # the budget keeps what the domain with the largest target has
+    sums, x = Sums(compact, most), np.zeros(len(DOMAINS))
+    if not sums.size:
+        return x, x
+    totals, gram, conjugate = sums.at(x)
     anchor = int(np.argmax(weights))
-    target = weights * now[anchor] / weights[anchor] / size
-    for _ in range(ROUNDS):
-        residual = now / size - target
-        history = np.vstack([history, metric @ residual])
-        if np.abs(residual).max() < TOLERANCE or len(history) > 1 and np.abs(history[-1] - history[-2]).max() < TOLERANCE / 10:
+    target = weights * totals[anchor] / weights[anchor]
+    value = lambda at, conj: conj + at @ target + RIDGE / 2 * at @ at
+    now, rounds = value(x, conjugate), 0
+    while np.abs(gradient := RIDGE * x - (totals - target)).max() > TOLERANCE:
+        step = -np.linalg.solve(gram + RIDGE * np.eye(len(x)), gradient)
+        scale, better = 1.0, False
+        while not better and scale > 1e-6:
+            after = sums.at(x + scale * step)
+            then, rounds = value(x + scale * step, after[2]), rounds + 1
+            better = then < now - 1e-4 * scale * abs(gradient @ step)
+            if not better:
+                scale /= 4
+        if not better:
             break
-        now = totals(history, step, False)
-    reached = totals(history, step, False, True)
-    report(weights, reached / max(reached.sum(), 1e-300), reached.sum() / size)
-    return history, step, reached / size
+        x, (totals, gram, conjugate), now = x + scale * step, after, then
+    report(weights, totals / max(totals.sum(), 1e-300), float(totals.sum()), rounds)
+    return x, totals
 
 
-def report(weights: np.ndarray, shares: np.ndarray, kept: float) -> None:
+def report(weights: np.ndarray, shares: np.ndarray, kept: float, rounds: int) -> None:
     """Logs the expected shares against their targets, as a warning if one is missed."""
     missed = np.abs(shares - weights).max() > MISSED
     told = ", ".join(f"{d} {x:.4f} of {w:.4f}" for d, x, w in zip(DOMAINS, shares, weights, strict=True))
-    LOG.log(logging.WARNING if missed else logging.INFO, "mixing %s its targets: %s; tokens %.4f of the input", "misses" if missed else "meets", told, kept)
-
-
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = 1.0, text: str = "text", learn: DataFrame | None = None) -> DataFrame:
-    """docs with _tokens, _p_plain, _p_poor, _p_toxic, _rate and _copies.
-
-    Rates lie between 0 and `most`; with the default no document is repeated. The token budget is such that the domain
-    with the largest target keeps its present total; a domain that has too little at the rate `most` misses its target. The
-    expected shares are logged, as a warning if one is missed. The classifier learns from the labelled rows of `learn`, by default of docs. _copies is the rate rounded up or down at random by a hash of id and
-    text, so that its mean is the rate and copies of a row get equal values. Null texts are empty, with no tokens and the
-    posteriors of their shape. Without labels all posteriors are the smoothed rates; an empty table gives no rows.
+    verb = "misses" if missed else "meets"
+    LOG.log(logging.WARNING if missed else logging.INFO, "mixing %s its targets after %d sums: %s; tokens %.4f of the input", verb, rounds, told, kept)
+
+
+def row_hash(text: str) -> Column:
+    return F.xxhash64(F.lit("mix"), F.col("doc_id").cast("long"), text_of(text))
+
+
+def rated(
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: dict[str, float] | None = None,
+    most: float = np.inf,
+    text: str = "text",
+    learn: DataFrame | None = None,
+) -> DataFrame:
+    """id, h (a hash of id and text), tokens, p_plain, p_poor, p_toxic, rate and copies of every row.
+
+    Rates are 0 or more and have no upper bound unless `most` is given. A target that no rates reach is missed: by default
+    only that of a domain without any document. The expected shares are logged, as a warning if one is missed. The
+    classifier learns from the labelled rows of `learn`, by default of docs. copies is the rate rounded up or down at random
+    by h, so that its mean is the rate and rows that repeat a document get equal values. Null texts are empty, with no
+    tokens and the posteriors of their shape. Without labels all posteriors are the smoothed rates; an empty table gives no
+    rows. No column of docs but doc_id and the text is read.
     """
     heads = fit(docs if learn is None else learn, labels, ("quality", "toxic"), text)
-    only = docs.select(text_of(text).alias("text"))
-    compact = written(probabilities(only, heads).select("_p_quality", "_p_toxic", "_tokens"), "mixing-posteriors")
-    history, step, _ = solve(compact, targets or TARGETS, most)
-
-    def derive(quality: np.ndarray, toxic: np.ndarray) -> list[np.ndarray]:
-        p = posteriors(quality, toxic)
-        return [*(np.ascontiguousarray(x) for x in p.T), rates(p, history, step, most)[0]]
+    keep = [F.col("doc_id").cast("long").alias("id"), row_hash(text).alias("h")]
+    compact = written(probabilities(docs, heads, keep, text), "mixing-posteriors")
+    multipliers, _ = solve(compact.select("p_quality", "p_toxic", "tokens"), targets or TARGETS, most)
+    p = posteriors(F.col("p_quality"), F.col("p_toxic"))
+    u = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    out = compact.select("id", "h", "tokens", *[x.alias(f"m_{d}") for x, d in zip(p, DOMAINS, strict=True)], rate_of(p, multipliers, most).alias("rate"), u.alias("u"))
+    return out.select("id", "h", "tokens", *[F.col(f"m_{d}").alias(f"p_{d}") for d in DOMAINS], "rate", F.floor(F.col("rate") + F.col("u")).cast("int").alias("copies"))
 
-    u = F.pmod(F.xxhash64(F.lit("mix"), F.col("doc_id").cast("long"), text_of(text)), F.lit(1 << 30)) / float(1 << 30)
-    out = probabilities(docs, heads, text, ("_m_plain", "_m_poor", "_m_toxic", "_rate"), derive)
-    return out.select(*docs.columns, "_tokens", *[F.col(f"_m_{d}").alias(f"_p_{d}") for d in DOMAINS], "_rate", F.floor(F.col("_rate") + u).cast("int").alias("_copies"))
 
-
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = 1.0, text: str = "text") -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = np.inf, text: str = "text", learn: DataFrame | None = None) -> DataFrame:
     """doc_id, n_tokens, posteriors, rate and copies of every row."""
-    rows = mixed(docs.select("doc_id", F.col(text).alias("text")), labels, targets, most)
-    return rows.select("doc_id", F.col("_tokens").alias("n_tokens"), *[F.col(f"_p_{d}").alias(f"p_{d}") for d in DOMAINS], F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))
-
-
-def sampled(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = 1.0, text: str = "text", learn: DataFrame | None = None) -> DataFrame:
-    """Each row of docs as often as its copies say, with docs' columns."""
-    rows = mixed(docs, labels, targets, most, text, learn).where("_copies > 0")
-    if most > 1:
-        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
-    return rows.select(*docs.columns)
+    rows = rated(docs, labels, targets, most, text, learn)
+    return rows.select(F.col("id").alias("doc_id"), F.col("tokens").alias("n_tokens"), *[f"p_{d}" for d in DOMAINS], "rate", "copies")
+
+
+def sampled(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = np.inf, text: str = "text", learn: DataFrame | None = None) -> DataFrame:
+    """Each row of docs as often as its copies say, with docs' columns, whatever their names."""
+    a, b, c, d = (f"{x}_{uuid.uuid4().hex}" for x in "abcd")
+    found = rated(docs, labels, targets, most, text, learn).where("copies > 0")
+    found = found.groupBy(F.col("id").alias(a), F.col("h").alias(b)).agg(F.max("copies").alias(c))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(a)) & (row_hash(text) == F.col(b))
+    rows = docs.join(found, same).withColumn(d, F.explode(F.sequence(F.lit(1), F.col(c))))
+    return rows.select(*[F.col(f"`{x}`") for x in docs.columns])

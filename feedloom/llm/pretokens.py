@@ -6,12 +6,13 @@ one space before it, then white space: a run before other text leaves its last c
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import regex
 
-from feedloom.llm.common import Rolling, ranges
+from feedloom.llm.common import at_space, ranges
 
 LETTER, NUMBER, OTHER, SPACE = range(4)
 #: Unicode's White_Space.
@@ -60,11 +61,9 @@ def starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return at[np.flatnonzero(start[:n])]
 
 
-def distinct(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, begin, end) of each distinct match and every match's index among them."""
-    end = np.append(begin[1:], len(data))
-    keys, where, inverse = np.unique(Rolling(data).span(begin, end), return_index=True, return_inverse=True)
-    return keys, begin[where], end[where], inverse
+def may_cut(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Whether a match begins between two bytes whatever stands around them: at white space after something else."""
+    return at_space(before, after) & (before < 128)
 
 
 def per_row(begin: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -73,26 +72,27 @@ def per_row(begin: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 class Pool:
-    """A value, an array of integers, for every key seen; it forgets all when it holds more than `most` keys."""
+    """A value, an array of integers, for every byte string seen; it forgets all beyond so many strings or bytes."""
 
-    def __init__(self, most: int = 400_000):
-        self.most = most
+    def __init__(self, most: int = 400_000, most_bytes: int = 8 << 20):
+        self.most, self.most_bytes = most, most_bytes
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[int, int] = {}
-        self.values, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.index: dict[bytes, int] = {}
+        self.values, self.used, self.held = np.zeros(1 << 16, np.uint32), 0, 0
         self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def lookup(self, keys: np.ndarray, values) -> np.ndarray:
-        """The place of each key; values(list of positions in keys) gives the arrays of those not seen before."""
-        if len(self.index) > self.most:
+    def lookup(self, keys: list[bytes], values: Callable[[list[bytes]], list]) -> np.ndarray:
+        """The place of each key; values(keys) gives the arrays of those not seen before."""
+        if len(self.index) > self.most or self.held > self.most_bytes:
             self.clear()
-        known, got = self.index, []
-        missing = [i for i, k in enumerate(keys.tolist()) if got.append(known.get(k, -1)) or got[-1] < 0]
-        out = np.array(got, np.int64)
-        if missing:
-            new = values(missing)
+        known = self.index
+        out = np.fromiter((known.get(k, -1) for k in keys), np.int64, len(keys))
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            wanted = [keys[i] for i in missing.tolist()]
+            new = values(wanted)
             sizes = np.fromiter(map(len, new), np.int64, len(new))
             at, total = len(known), int(sizes.sum())
             while self.used + total > len(self.values):
@@ -103,8 +103,9 @@ class Pool:
             self.begin[at : at + len(new)] = self.used + np.cumsum(sizes) - sizes
             self.size[at : at + len(new)] = sizes
             self.used += total
+            self.held += sum(map(len, wanted))
             out[missing] = np.arange(at, at + len(new))
-            known.update(zip(keys[missing].tolist(), range(at, at + len(new)), strict=True))
+            known.update(zip(wanted, range(at, at + len(new)), strict=True))
         return out
 
     def gather(self, places: np.ndarray) -> np.ndarray:

@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from feedloom.llm.common import chunks, keyed, new_path, text_bytes
-from feedloom.llm.pretokens import Pool, distinct, per_row, starts
+from feedloom.llm.common import chunks, distinct, keyed, new_path, pieces, text_bytes
+from feedloom.llm.pretokens import Pool, may_cut, per_row, starts
 
-CACHE = "content string, tokenizer string, n_tokens long"
+CACHE = "content binary, n_tokens long, tokenizer string"
+#: Parts that the rows of one content are dealt into when they meet its count.
+SPREAD = 64
 VERSION = "1"
 #: Strings handed to the library at once; it keeps far more than the ids of each.
 AT_ONCE = 1000
@@ -71,17 +73,24 @@ class Counter:
                     at = raw.find(mark, at + 1)
         out = np.zeros(len(whole), np.int64)
         if not whole.all() and len(data):
-            begin = starts(data, offs)
-            keys, a, b, inverse = distinct(data, begin)
-            count = lambda missing: [[n] for n in self.counts([raw[a[i] : b[i]].decode() for i in missing])]
-            places = self.pieces.lookup(keys, count)
-            sums = np.concatenate([[0], np.cumsum(self.pieces.gather(places)[inverse], dtype=np.int64)])
-            out = np.diff(sums[per_row(begin, offs)])
+            cuts = pieces(data, offs, may_cut)
+            made = [self._pieces(part, edges) for _, _, part, edges in chunks(data, cuts)]
+            sums = np.concatenate([[0], np.cumsum(np.concatenate(made))])
+            out = np.diff(sums[np.searchsorted(cuts, offs, "right") - 1])
         if whole.any():
             rows = np.flatnonzero(whole)
             out[rows] = self.counts([raw[offs[i] : offs[i + 1]].decode() for i in rows])
         return out
 
+    def _pieces(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        begin = starts(data, offs)
+        if not len(begin):
+            return np.zeros(len(offs) - 1, np.int64)
+        found, _, inverse = distinct(data, begin)
+        places = self.pieces.lookup(found, lambda new: [[n] for n in self.counts([x.decode() for x in new])])
+        sums = np.concatenate([[0], np.cumsum(self.pieces.gather(places)[inverse], dtype=np.int64)])
+        return np.diff(sums[per_row(begin, offs)])
+
 
 @lru_cache(1)
 def counter_of(path: str) -> Counter:
@@ -97,7 +106,7 @@ def tokenizer_digest(path: str) -> str:
 
 
 def stored(spark: SparkSession, cache: str) -> DataFrame:
-    """The cache at a path; empty if nothing has been written there."""
+    """The cache at a path, a folder for each tokenizer version; empty if nothing has been written there."""
     try:
         return spark.read.schema(CACHE).parquet(cache)
     except AnalysisException as error:
@@ -117,8 +126,10 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, limit: in
     spark = docs.sparkSession
     cache = cache or new_path(spark, "token-cache")
     version = tokenizer_digest(path)
-    rows = keyed(docs, text=text).select("doc_id", "dk", "text", F.sha2("text", 256).alias("content"), F.octet_length("text").cast("long").alias("n_bytes"))
-    known = stored(spark, cache).where(F.col("tokenizer") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    content, part = F.unhex(F.sha2("text", 256)).alias("content"), F.pmod("dk", F.lit(SPREAD)).cast("short").alias("part")
+    rows = keyed(docs, text=text).select("doc_id", "dk", "text", content, part, F.octet_length("text").cast("long").alias("n_bytes"))
+    one = F.max("n_tokens").alias("n_tokens")
+    known = stored(spark, cache).where(F.col("tokenizer") == version).groupBy("content").agg(one)
     missing = rows.groupBy("content").agg(F.min("dk").alias("dk")).join(known, "content", "left_anti").hint("shuffle_hash")
     # dk stands for an id with a text, so a document given twice would be encoded twice here, not more
     todo = rows.select("dk", "text").join(missing, "dk").select("content", "text")
@@ -129,6 +140,10 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, limit: in
             made = [counter.rows(data, offs) for _, _, data, offs in chunks(*text_bytes(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(made) if made else np.zeros(0, np.int64))], ["content", "n_tokens"])
 
-    todo.mapInArrow(run, "content string, n_tokens long").select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
-    counts = stored(spark, cache).where(F.col("tokenizer") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
-    return rows.select("doc_id", "n_bytes", "content").join(counts, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    made = todo.mapInArrow(run, "content binary, n_tokens long").select("content", "n_tokens", F.lit(version).alias("tokenizer"))
+    made.write.mode("append").partitionBy("tokenizer").parquet(cache)
+    counts = stored(spark, cache).where(F.col("tokenizer") == version).groupBy("content").agg(one)
+    # the rows of a frequent text meet its count in SPREAD places, not in one
+    placed = rows.select("content", "part").distinct().join(counts, "content")
+    out = rows.select("doc_id", "n_bytes", "content", "part").join(placed, ["content", "part"])
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 from tests.llm.helpers import corpus, documents
 
-from feedloom.llm import byte_bpe
+from feedloom.llm import byte_bpe, token_counts
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
 
@@ -68,3 +68,36 @@ def test_append_and_edit(vocabulary, library):
         assert table.data == whole and table.last == byte_bpe.Prefixes(vocabulary, whole).last
     table = byte_bpe.Prefixes(vocabulary, b"the quick brown fox jumps over " * 200)
     assert table.edit(10, 12, b"zz") < len(table.data) / 2
+
+
+def thue_morse(n, flip):
+    return "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(n))
+
+
+def test_words_whose_hashes_collide(library):  # noqa: F811
+    """Polynomial hashes modulo a power of two can't tell these words apart, whatever the base."""
+    from feedloom.llm.common import distinct
+
+    texts = [thue_morse(2048, 0), thue_morse(2048, 1)]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offs = np.array([0, 2048, 4096])
+    encoder = byte_bpe.Encoder(byte_bpe.vocabulary(P.path("byte_bpe_multi_50k.tiktoken")))
+    ids, bounds = encoder.encode(raw, offs)
+    assert [ids[bounds[i] : bounds[i + 1]].tolist() for i in range(2)] == [library.encode_ordinary(t) for t in texts]
+    assert len(distinct(raw, offs[:-1])[0]) == 2
+    counter = token_counts.Counter(P.path("byte_bpe_50k.json"))
+    alone = [int(counter.rows(raw[2048 * i : 2048 * i + 2048], np.array([0, 2048]))[0]) for i in range(2)]
+    assert token_counts.Counter(P.path("byte_bpe_50k.json")).rows(raw, offs).tolist() == alone
+
+
+def test_pieces_of_long_texts_and_small_pools(library):  # noqa: F811
+    r = random.Random(8)
+    parts = ["don't ", "x" * 40, "  \n\n", " 12,5", "é€ ", "'s", "\t", "\u00a0a", "  b", "中文"]
+    texts = ["".join(r.choices(parts, k=300)), "", "z" * 5000, "a b", "".join(r.choices(parts, k=500))]
+    raw = "".join(texts).encode()
+    offs = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    encoder = byte_bpe.Encoder(byte_bpe.vocabulary(P.path("byte_bpe_multi_50k.tiktoken")))
+    encoder.pool.most, encoder.pool.most_bytes = 5, 50
+    for limit in (64, 300, 1 << 20):
+        ids, bounds = encoder.encode(np.frombuffer(raw, np.uint8), offs, limit)
+        assert [ids[bounds[i] : bounds[i + 1]].tolist() for i in range(5)] == [library.encode_ordinary(t) for t in texts]

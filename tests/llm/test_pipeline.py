@@ -8,10 +8,11 @@ import os
 import public_tokenizers as P
 import pytest
 from tests.llm.test_byte_bpe import library  # noqa: F401
-from tests.llm.test_simhash import fingerprint
+from tests.llm.test_simhash import wide_fingerprint
 from tests.llm.test_suffix_dedup import brute
 
 import corpus_pipeline
+from feedloom.llm import simhash
 from feedloom.llm.common import written
 
 DATA = "/root/testdata/sf0.001"
@@ -29,12 +30,12 @@ def test_stages(spark, library):  # noqa: F811
     assert ids(good) <= ids(start) and ids(mixed) <= ids(cut) == ids(single) and ids(encoded) == ids(mixed)
     labels = {r.doc_id: r for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
     assert {r["doc_id"] for r in start if r["doc_id"] in labels and labels[r["doc_id"]].quality and not labels[r["doc_id"]].toxic} <= ids(good)
-    fps = {r["doc_id"]: fingerprint(r["text"]) for r in good}
+    fps, radius = {r["doc_id"]: wide_fingerprint(r["text"], 5) for r in good}, simhash.radius_for(0.8)
     for i, f in fps.items():  # one of each group stays: the smallest, and each that went is linked to another
         if i not in ids(single):
-            assert any((f ^ g).bit_count() <= 3 for j, g in fps.items() if j != i)
+            assert any((f ^ g).bit_count() <= radius for j, g in fps.items() if j != i)
     kept = sorted(ids(single))
-    assert all((fps[a] ^ fps[b]).bit_count() > 3 for k, a in enumerate(kept) for b in kept[k + 1 :])
+    assert all((fps[a] ^ fps[b]).bit_count() > radius for k, a in enumerate(kept) for b in kept[k + 1 :])
     want = brute([(r["doc_id"], r["text"]) for r in single])
     assert {r["doc_id"]: r["text"] for r in cut} == {i: w[3].decode("utf-8", "replace") for i, w in want.items()}
     text = {r["doc_id"]: r["text"] for r in mixed}
