@@ -11,12 +11,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import byte_bpe, mixing, quality, shingles, suffix_dedup
+from feedloom.llm import byte_bpe, mixing, quality, simhash, suffix_dedup
 from feedloom.llm.common import written
 
 ORACLE_SQL = None
-#: The most copies of a document that mixing makes on average.
-MOST = 16.0
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +27,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose sets of five-word shingles are linked by Jaccard similarity of 0.8 or more stays."""
-    return shingles.keep_one(docs)
+    """One document of each group stays: SimHash over five-word shingles, at the radius that stands for similarity 0.8."""
+    return simhash.keep_one(docs, similar=0.8, shingle=5)
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,10 +41,10 @@ def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents stay, or repeat, at the rates that bring the domains' token totals to their targets.
 
-    Earlier stages leave fewer poor and toxic tokens than the targets ask, so rates go up to MOST. The classifier learns
-    from all labelled documents, also those that earlier stages removed.
+    Earlier stages leave fewer poor and toxic tokens than the targets ask, so rates above 1 repeat documents. The
+    classifier learns from all labelled documents, also those that earlier stages removed.
     """
-    return mixing.sampled(docs, _labels(spark, sf_dir), most=MOST, learn=spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mixing.sampled(docs, _labels(spark, sf_dir), learn=spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
