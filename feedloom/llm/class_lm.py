@@ -1,15 +1,19 @@
 """Class-based n-gram scoring: exchange clustering, class transitions and word emissions.
 
-Units are the most frequent training words, one ending (hash of the last three bytes) for each group of all other
-words, and the end of a text. Exchange clustering moves units between classes as long as the mutual information of
-neighbouring classes grows. A text's probability is the product of P(class | class before), P(unit | class) and
-P(word | unit), each a proper distribution: transitions are interpolated with class frequencies, units are add-0.1, and
-words under an ending are discounted by one constant whose mass goes to the unseen word, the one further type that the
-base score has, too.
-
-All counts cover the whole corpus. The driver sees the counts of the frequent words, sums by ending and the table of unit
-pairs, whose sizes the parameters bound; the counts of all other words stay in a table that meets the texts' rare words
-in a join.
+Every training word gets a class by exchange, in two steps. Units (the most frequent words, one for each ending of all
+other words, and the end of a text) are clustered first: a unit moves between classes as long as the mutual information
+of neighbouring classes grows. These are the classes that histories have. Then every further word, however rare, is
+exchanged by itself, in one distributed round: from the class of its ending it goes to the class at which the counts of
+the history classes before it have the largest log likelihood, if that gains more than naming a class costs. The classes
+of words are what is predicted.
+
+A text's probability is the product of P(class | history class), from counts over all words' classes, interpolated with
+the classes' frequencies, and P(word | class): counts with an absolute discount whose mass goes to the unseen word of a
+class, so that the known words of a class and its unseen word sum to one. An unseen word has the class of its ending.
+
+All counts cover the whole corpus; words are told apart by their bytes. The driver sees the HELD most frequent words, the
+table of unit pairs and tables of classes, whose sizes the parameters bound; all other words stay in tables that grow with
+the corpus and meet the texts' words in joins.
 """
 
 from __future__ import annotations
@@ -22,46 +26,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Rolling, chunks, keyed, text_bytes, written
-from feedloom.llm.words import Words, words_of
+from feedloom.llm.common import CHUNK, at_space, chunks, distinct, keyed, mixed, pieces, text_bytes, written
+from feedloom.llm.words import words_of
 
-#: Words that are units, endings, classes, sweeps of the exchange; words whose counts every task holds.
-WORDS, ENDINGS, CLASSES, SWEEPS, HELD = 768, 512, 64, 4, 65_536
+#: Words that are units of their own, endings, classes, sweeps of the exchange of units.
+WORDS, ENDINGS, CLASSES, SWEEPS = 768, 512, 64, 4
+#: Words whose counts and classes every task holds, and the bytes that such a word has at most.
+HELD, HELD_BYTES = 65_536, 64
 FOLDS, OUT = 7, 2
-#: Weight of class frequencies in the transitions and the constant added to units.
-BETA, ADDED = 5.0, 0.1
+#: Weight of class frequencies in the transitions.
+BETA = 5.0
+#: Counts up to this are looked up when words are exchanged, not worked out.
+SMALL = 8
+UNITS = WORDS + ENDINGS + 1
+END = UNITS - 1
 
 
 def held_out_of(ids: list[int | None]) -> np.ndarray:
     return np.array([zlib.crc32(b"" if i is None else str(i).encode()) % FOLDS == OUT for i in ids], bool)
 
 
-def tokens_of(data: np.ndarray, offs: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
-    """(words, hash of each, ending of each)."""
-    words = words_of(data, offs)
-    rolling, end = Rolling(words.data), words.begin + words.size
-    return words, rolling.span(words.begin, end), (rolling.span(np.maximum(words.begin, end - 3), end) % np.uint64(ENDINGS)).astype(np.int64)
-
-
-class Lookup:
-    """Places of hashes in a table of distinct ones; -1 for others."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.order = np.argsort(hashes)
-        self.sorted = hashes[self.order]
-
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.sorted):
-            return np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == hashes, self.order[at], -1)
-
-
-def units_of(words: Words, hashes: np.ndarray, endings: np.ndarray, frequent: Lookup) -> np.ndarray:
-    """The unit of every token, with the end (the last unit) after each row's words."""
-    place = frequent(hashes)
-    units = np.where(place >= 0, place, WORDS + endings)
-    return np.insert(units, words.rows[1:], WORDS + ENDINGS)
+class Tokens:
+    """The words of many rows: `found` has the distinct ones, `place` the one of each token, `bounds` each row's tokens."""
+
+    def __init__(self, data: np.ndarray, offs: np.ndarray):
+        words = words_of(data, offs)
+        self.bounds = words.rows
+        self.found, first, self.place = distinct(words.data, words.begin)
+        size = np.fromiter(map(len, self.found), np.int64, len(self.found)) - 1
+        code = np.zeros(len(first), np.uint64)
+        for back in (1, 2, 3):
+            byte = words.data[np.maximum(first + size - back, 0)] if len(first) else np.zeros(0, np.uint8)
+            code = code * np.uint64(257) + np.where(size >= back, byte.astype(np.uint64) + np.uint64(1), np.uint64(0))
+        self.endings = (mixed(code) % np.uint64(ENDINGS)).astype(np.int64)
+        self.found = [w[:-1] for w in self.found]
+
+    def units(self, index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each distinct word in the index of held ones or -1, its unit)."""
+        held = np.fromiter((index.get(w, -1) for w in self.found), np.int64, len(self.found))
+        return held, np.where((held >= 0) & (held < WORDS), held, WORDS + self.endings)
+
+
+def parts_of(data: np.ndarray, offs: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[Tokens, np.ndarray, np.ndarray]]:
+    """(tokens of a run of pieces, row of each piece, whether it begins its row). Only rows beyond `limit` bytes are cut."""
+    cuts = pieces(data, offs, at_space, limit)
+    if cuts is offs:
+        rows, first = np.arange(len(offs) - 1), np.ones(len(offs) - 1, bool)
+    else:
+        sizes = np.searchsorted(cuts, offs[1:], "left") - np.searchsorted(cuts, offs[:-1], "right") + 1
+        sizes = np.where(np.diff(offs) > 0, sizes, 0)
+        empty = np.flatnonzero(sizes == 0)  # an empty row is one piece of its own
+        rows = np.sort(np.concatenate([np.repeat(np.arange(len(sizes)), sizes), empty]))
+        first = np.r_[True, rows[1:] != rows[:-1]]
+    for a, b, part, edges in chunks(data, cuts, limit):
+        yield Tokens(part, edges), rows[a:b], first[a:b]
 
 
 def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
@@ -120,150 +138,290 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return cls
 
 
+def xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+class Assignment:
+    """Exchanges words one by one against a table of (history class, class) counts, many at once.
+
+    Each word is judged against the table as it stands, itself taken out of its own class.
+    """
+
+    def __init__(self, table: np.ndarray):
+        self.table = table.astype(float)
+        self.classes = table.shape[1]
+        self.base, self.total = xlogx(self.table), self.table.sum(axis=0)
+        n = np.arange(SMALL + 1, dtype=float)[:, None, None]
+        self.gains = xlogx(self.table + n) - self.base  # by count, history class and class
+
+    def __call__(self, group: np.ndarray, cell: np.ndarray, n: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The class of each group; its history counts are (group, cell, n), sorted by group, and its class so far `own`."""
+        begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        gain = np.empty((len(cell), self.classes))
+        small = n <= SMALL
+        gain[small] = self.gains[n[small], cell[small]]
+        large = np.flatnonzero(~small)
+        gain[large] = xlogx(self.table[cell[large]] + n[large, None]) - self.base[cell[large]]
+        at = own[group]
+        here = self.table[cell, at]
+        gain[np.arange(len(cell)), at] = self.base[cell, at] - xlogx(np.maximum(here - n, 0))
+        score = np.add.reduceat(gain, begin, axis=0)
+        size = np.add.reduceat(n, begin).astype(float)
+        cost = xlogx(self.total + size[:, None]) - xlogx(self.total)
+        rows = np.arange(len(own))
+        mine = self.total[own]
+        cost[rows, own] = xlogx(mine) - xlogx(np.maximum(mine - size, 0))
+        score -= cost
+        score[:, self.classes - 1] = -np.inf  # the end is no word's class
+        best = np.argmax(score, axis=1)
+        return np.where(score[rows, best] - score[rows, own] > np.log(self.classes), best, own)
+
+
 class Model:
-    """Log10 probabilities of units and what the parts that depend on a rare word's count need."""
+    """Log10 probabilities of classes after history classes, and of words in classes."""
 
-    def __init__(self, pairs: np.ndarray, cls: np.ndarray, ending_n: np.ndarray, ending_v: np.ndarray, discount: float):
-        member = np.zeros((len(cls), int(cls.max()) + 1))
-        member[np.arange(len(cls)), cls] = 1
-        table = member.T @ pairs @ member
-        share = (table.sum(axis=0) + 1) / (table.sum() + table.shape[0])
+    def __init__(self, table: np.ndarray, types: np.ndarray, discount: float):
+        count = table.sum(axis=0)
+        share = (count + 1) / (count.sum() + len(count))
         self.transition = np.log10((table + BETA * share) / (table.sum(axis=1, keepdims=True) + BETA))
-        count = pairs.sum(axis=0)
-        self.unit = np.log10((count + ADDED) / (member.T @ count + ADDED * member.sum(axis=0))[cls])
-        self.cls, self.discount = cls, discount
-        self.rest = np.zeros(len(cls))  # -log10 of an ending's tokens, for its words
-        some = ending_n > 0
-        self.rest[WORDS : WORDS + ENDINGS][some] = -np.log10(ending_n[some])
-        self.unseen = np.where(some, np.log10(np.maximum(discount * ending_v, 1e-300)), 0.0)
+        self.discount = discount
+        self.size = np.log10(np.maximum(count, 1e-300))
+        self.unseen = np.where(types > 0, np.log10(np.maximum(discount * types, 1e-300)) - self.size, 0.0)
 
-    def known(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10(np.maximum(counts - self.discount, 1e-300))
+    def known(self, counts: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        return np.log10(np.maximum(counts - self.discount, 1e-300)) - self.size[cls]
 
 
 def scores(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row.
 
-    Texts are read whole; null and empty ones have one token, the end. Documents with crc32 of the id as text mod 7 = 2
-    are held out from learning; a null id counts as the empty text. Repeated rows count and are scored each. Without any
-    training document every word is the unseen one. Other columns are not read, so their names may clash; an empty table
-    gives no rows. Words are told apart by 64-bit hashes.
+    Texts are read whole, long ones piece by piece; null and empty ones have one token, the end. Documents with crc32 of
+    the id as text mod 7 = 2 are held out from learning; a null id counts as the empty text. Repeated rows count and are
+    scored each. Without any training document every word is the unseen one. Other columns are not read, so their names may
+    clash; an empty table gives no rows.
     """
     spark = docs.sparkSession
     rows = keyed(docs, text=text)
-
-    def batches_of(batches: Iterable[pa.RecordBatch], training: bool) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
-        for batch in batches:
-            if training:
-                batch = batch.filter(pa.array(~held_out_of(batch.column(0).to_pylist())))
-            for at, end, data, offs in chunks(*text_bytes(batch.column(2))):
-                yield batch, at, end, data, offs
+    training = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) != OUT
+    train = rows.where(training).select("text")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, endings = [], []
-            batch = batch.filter(pa.array(~held_out_of(batch.column(0).to_pylist())))
-            for _, _, data, offs in chunks(*text_bytes(batch.column(2))):
-                _, h, e = tokens_of(data, offs)
-                h, first, n = np.unique(h, return_index=True, return_counts=True)
-                hashes.append((h, n))
-                endings.append(e[first])
-            h = np.concatenate([x for x, _ in hashes]) if hashes else np.zeros(0, np.uint64)
-            n = np.concatenate([x for _, x in hashes]) if hashes else np.zeros(0, np.int64)
-            e = np.concatenate(endings) if endings else np.zeros(0, np.int64)
-            h, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-            n = np.bincount(inverse, n, len(h)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(e[first]), pa.array(n)], ["h", "e", "c"])
-
-    counted = rows.mapInArrow(count, "h long, e long, c long").groupBy("h").agg(F.first("e").alias("e"), F.sum("c").alias("c"))
-    table = written(counted, "word-counts")
-    train_docs = rows.where(F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) != OUT).select("doc_id").count()
-    top = table.orderBy(F.desc("c"), "h").limit(HELD).toArrow()  # at most HELD rows
-    held, held_counts = np.ascontiguousarray(top["h"].to_numpy()).view(np.uint64), top["c"].to_numpy()
-    frequent = held[:WORDS]
-    units_known = spark.createDataFrame([(int(x),) for x in frequent.view(np.int64)], "h long")
-    total, types = table.agg(F.sum("c"), F.count("*")).first()
+            sums: dict[bytes, int] = {}
+            for tokens, _, _ in parts_of(*text_bytes(batch.column(0))):
+                n = np.bincount(tokens.place, minlength=len(tokens.found)).tolist()
+                for word, c in zip(tokens.found, n, strict=True):
+                    sums[word] = sums.get(word, 0) + c
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), pa.array(list(sums.values()), pa.int64())], ["w", "c"])
+
+    table = written(train.mapInArrow(count, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c")), "word-counts")
+    train_docs = train.count()
+    total, types, n1, n2 = table.agg(F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
     total, types = (total or 0) + train_docs, types + (train_docs > 0)
-    by_ending = table.join(F.broadcast(units_known), "h", "left_anti").groupBy("e").agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).toArrow()  # at most ENDINGS rows
-    ending_n, ending_v = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    ending_n[by_ending["e"].to_numpy()], ending_v[by_ending["e"].to_numpy()] = by_ending["n"].to_numpy(), by_ending["v"].to_numpy()
-    n1, n2 = (float(by_ending[c].to_numpy().sum()) for c in ("n1", "n2"))
     discount = min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
-    u = WORDS + ENDINGS + 1
+    short = table.where(F.octet_length("w") <= HELD_BYTES)
+    top = short.orderBy(F.desc("c"), "w").limit(HELD).toArrow()  # at most HELD short words
+    held, held_counts = top["w"].to_pylist(), top["c"].to_numpy()
+    index = spark.sparkContext.broadcast({w: i for i, w in enumerate(held)})
+
+    def sequence(tokens: Tokens, rows_: np.ndarray, first: np.ndarray, last: np.ndarray, units: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(unit, history unit) of all tokens with ends put in after each row's last piece, and the last unit."""
+        each = units[tokens.place]
+        each = np.insert(each, tokens.bounds[1:][last], END)
+        history = np.append(before, each[:-1])
+        begin = tokens.bounds[:-1] + np.cumsum(last) - last
+        some = first & (begin < len(each))
+        history[begin[some]] = END
+        return each, history, int(each[-1]) if len(each) else before
+
+    def walk(batch_text: pa.Array) -> Iterator[tuple]:
+        before, pending = END, None
+        for item in (*parts_of(*text_bytes(batch_text)), None):
+            if pending is not None:
+                tokens, rows_, first = pending
+                after = item[2][0] if item is not None and len(item[2]) else True
+                last = np.append(first[1:], after)
+                held_at, units = tokens.units(index.value)
+                each, history, before = sequence(tokens, rows_, first, last, units, before)
+                yield tokens, rows_, last, held_at, units, each, history
+            pending = item
 
     def pairs_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, cells = Lookup(frequent), np.zeros(u * u, np.int64)
-        for _, _, _, data, offs in batches_of(batches, True):
-            units = units_of(*tokens_of(data, offs), lookup)
-            cells += np.bincount(np.append(u - 1, units[:-1]) * u + units, minlength=u * u) if len(units) else 0
+        cells = np.zeros(UNITS * UNITS, np.int64)
+        for batch in batches:
+            for *_, each, history in walk(batch.column(0)):
+                cells += np.bincount(history * UNITS + each, minlength=UNITS * UNITS)
         some = np.flatnonzero(cells)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(cells[some])], ["cell", "c"])
 
-    found = rows.mapInArrow(pairs_of, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toArrow()  # at most u * u rows
-    pairs = np.zeros(u * u)
+    found = train.mapInArrow(pairs_of, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toArrow()  # at most UNITS x UNITS rows
+    pairs = np.zeros(UNITS * UNITS)
     pairs[found["cell"].to_numpy()] = found["c"].to_numpy()
     del found
-    pairs = pairs.reshape(u, u)
-    model = Model(pairs, exchange(pairs), ending_n, ending_v, discount)
-    shared = spark.sparkContext.broadcast((frequent, held, held_counts, model))
+    pairs = pairs.reshape(UNITS, UNITS)
+    cls = exchange(pairs)
+    member = np.zeros((UNITS, CLASSES))
+    member[np.arange(UNITS), cls] = 1
+    shared = spark.sparkContext.broadcast((cls, member.T @ pairs @ member))
+
+    def contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes_ = shared.value[0]
+        for batch in batches:
+            sums: dict[bytes, int] = {}
+            keys, kinds, owns = [], [], []
+            for tokens, _, last, _, units, each, history in walk(batch.column(0)):
+                mine = each < END
+                rare = np.flatnonzero(units >= WORDS)
+                number = np.full(len(units), -1, np.int64)
+                number[rare] = [sums.setdefault(tokens.found[i], len(sums)) for i in rare.tolist()]
+                owns.append((number[rare], classes_[units[rare]]))
+                word = number[tokens.place]
+                past = classes_[history[mine]][word >= 0]
+                pair, n = np.unique(word[word >= 0] * CLASSES + past, return_counts=True)
+                keys.append(pair)
+                kinds.append(n)
+            pair, inverse = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_inverse=True)
+            n = np.bincount(inverse, np.concatenate(kinds) if kinds else None, len(pair)).astype("<u4")
+            own = np.zeros(len(sums), np.int8)
+            for at, c in owns:
+                own[at] = c
+            ends = np.searchsorted(pair, np.arange(len(sums) + 1) * CLASSES)
+            record = np.zeros(len(pair), [("cell", "u1"), ("n", "<u4")])
+            record["cell"], record["n"] = pair % CLASSES, n
+            packed = pa.Array.from_buffers(pa.binary(), len(sums), [None, pa.py_buffer((ends * 5).astype(np.int32)), pa.py_buffer(record.tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), pa.array(own), packed], ["w", "own", "cells"])
+
+    def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by word, so a word's rows follow each other; those of the last one wait for the next batch."""
+        assignment = Assignment(shared.value[1])
+        waiting: list[tuple] = []
+
+        def settle(words: list[bytes], own: np.ndarray, group: np.ndarray, cell: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            pair, inverse = np.unique(group * CLASSES + cell, return_inverse=True)
+            n = np.bincount(inverse, n, len(pair)).astype(np.int64)
+            chosen = assignment(pair // CLASSES, pair % CLASSES, n, own)
+            ends = np.searchsorted(pair, np.arange(len(words) + 1) * CLASSES)
+            cells = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((pair % CLASSES).astype(np.int16)))
+            counts = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(n))
+            size = pa.array(np.add.reduceat(n, ends[:-1]).astype(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), size, pa.array(chosen.astype(np.int16)), cells, counts], ["w", "c", "cls", "cells", "ns"])
+
+        def flush(rows_: list[tuple]) -> pa.RecordBatch:
+            words, own, group, cell, n = [], [], [], [], []
+            for word, mine, record in rows_:
+                if not words or words[-1] != word:
+                    words.append(word)
+                    own.append(mine)
+                group.append(np.full(len(record), len(words) - 1))
+                cell.append(record["cell"].astype(np.int64))
+                n.append(record["n"].astype(np.int64))
+            return settle(words, np.array(own, np.int64), *(np.concatenate(x) for x in (group, cell, n)))
+
+        for batch in batches:
+            records = [np.frombuffer(x.as_buffer(), [("cell", "u1"), ("n", "<u4")]) for x in batch.column(2)]
+            waiting += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), records, strict=True)
+            if len({waiting[0][0], waiting[-1][0]}) == 2:
+                at = len(waiting) - 1
+                while waiting[at - 1][0] == waiting[-1][0]:
+                    at -= 1
+                yield flush(waiting[:at])
+                waiting = waiting[at:]
+            elif len(waiting) > 1:  # one word alone: its rows become one
+                whole = np.bincount(np.concatenate([r["cell"] for *_, r in waiting]), np.concatenate([r["n"] for *_, r in waiting]), CLASSES)
+                record = np.zeros(int((whole > 0).sum()), [("cell", "u1"), ("n", "<u8")])
+                record["cell"], record["n"] = np.flatnonzero(whole), whole[whole > 0]
+                waiting = [(waiting[0][0], waiting[0][1], record)]
+        if waiting:
+            yield flush(waiting)
+
+    gathered = train.mapInArrow(contexts, "w binary, own byte, cells binary")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    gathered = gathered.repartition(parts, "w").sortWithinPartitions("w")
+    model_words = written(gathered.mapInArrow(assign, "w binary, c long, cls short, cells array<short>, ns array<long>"), "word-classes")
+    cells = model_words.select("cls", F.explode(F.arrays_zip("cells", "ns")).alias("x")).groupBy("cls", F.col("x.cells").alias("past")).agg(F.sum("x.ns").alias("n")).toArrow()  # at most CLASSES x CLASSES rows
+    seeds = cls[: min(WORDS, len(held))]
+    transitions = np.zeros((CLASSES, CLASSES))
+    transitions[cells["past"].to_numpy(), cells["cls"].to_numpy()] = cells["n"].to_numpy()
+    own_units = [*range(len(seeds)), END]
+    for unit in own_units:
+        transitions[:, cls[unit]] += member.T @ pairs[:, unit]
+    class_types = np.bincount(seeds, minlength=CLASSES).astype(float)
+    for r in model_words.groupBy("cls").count().collect():  # at most CLASSES rows
+        class_types[r["cls"]] += r["count"]
+    model = Model(transitions, class_types, discount)
+    held_classes = np.zeros(len(held), np.int64)
+    held_classes[: len(seeds)] = seeds
+    names = spark.createDataFrame(pa.table({"w": pa.array(held, pa.binary()), "i": pa.array(np.arange(len(held)), pa.int32())})) if held else None
+    if names is not None:
+        got = model_words.select("w", "cls").join(F.broadcast(names), "w").select("i", "cls").toArrow()  # at most HELD rows
+        held_classes[got["i"].to_numpy()] = got["cls"].to_numpy()
+    known = spark.sparkContext.broadcast((held_counts, held_classes, model))
     denominator = float(np.log10(total + types + 1))
 
     def local(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent_, held_, counts, m = shared.value
-        unit_at, held_at, end_count = Lookup(frequent_), Lookup(held_), train_docs
-        for batch, at, end, data, offs in batches_of(batches, False):
-            words, hashes, endings = tokens_of(data, offs)
-            units = units_of(words, hashes, endings, unit_at)
-            c = m.cls[units]
-            bounds = words.rows + np.arange(len(words.rows))
-            row = np.repeat(np.arange(end - at), np.diff(bounds))
-            part = m.transition[np.append(m.cls[-1], c[:-1]), c] + m.unit[units]
-            rest = units[np.delete(np.arange(len(units)), bounds[1:] - 1)]
-            word_row = np.repeat(np.arange(end - at), words.counts)
-            place = held_at(hashes)
-            near = place >= 0
-            n = counts[place[near]]
-            model_score = np.bincount(row, part, end - at)
-            ending = rest >= WORDS
-            model_score += np.bincount(word_row[ending], m.rest[rest[ending]], end - at)
-            here = near & ending
-            model_score += np.bincount(word_row[here], m.known(counts[place[here]]), end - at)
-            base = np.bincount(word_row[near], np.log10(n + 1), end - at) + np.log10(end_count + 1)
-            known = np.bincount(word_row[near], minlength=end - at) + (end_count > 0)
-            ids, dk = (batch.column(i).slice(at, end - at) for i in (0, 1))
-            keys = dk.to_numpy(zero_copy_only=False)
-            far = np.flatnonzero(~near)
-            order = far[np.lexsort((hashes[far], word_row[far]))]
-            new = np.ones(len(order), bool)
-            new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (word_row[order][1:] != word_row[order][:-1])
-            first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(order)))
-            some = order[first]
-            k = end - at
-            held_out = held_out_of(ids.to_pylist())
-            nothing = pa.nulls(len(some), pa.float64())
+        counts, classes, m = known.value
+        hist = shared.value[0]
+        for batch in batches:
+            k = batch.num_rows
+            n_tokens, n_known, base, model_score = (np.zeros(k) for _ in range(4))
+            out: list[tuple] = []
+            for tokens, rows_, last, held_at, units, each, history in walk(batch.column(2)):
+                past = hist[history]
+                sizes = np.diff(tokens.bounds) + last
+                row = np.repeat(rows_, sizes)
+                n_tokens += np.bincount(row, minlength=k)
+                end = each == END
+                if train_docs:
+                    n_known += np.bincount(row[end], minlength=k)
+                base += np.bincount(row[end], np.full(int(end.sum()), np.log10(train_docs + 1)), k)
+                model_score += np.bincount(row[end], m.transition[past[end], hist[END]], k)
+                word_row, word_past, place = row[~end], past[~end], held_at[tokens.place]
+                near = place >= 0
+                c, to = counts[place[near]], classes[place[near]]
+                n_known += np.bincount(word_row[near], minlength=k)
+                base += np.bincount(word_row[near], np.log10(c + 1), k)
+                model_score += np.bincount(word_row[near], m.transition[word_past[near], to] + m.known(c, to), k)
+                far = np.flatnonzero(~near)
+                key = (word_row[far] * len(tokens.found) + tokens.place[far]) * CLASSES + word_past[far]
+                key, times = np.unique(key, return_counts=True)
+                word = key // CLASSES % max(len(tokens.found), 1)
+                out.append((key // CLASSES // max(len(tokens.found), 1), pa.array(tokens.found, pa.binary()).take(pa.array(word)), key % CLASSES, times, hist[units[word]]))
+            dk = batch.column(1).to_numpy(zero_copy_only=False)
+            at = np.concatenate([x[0] for x in out]) if out else np.zeros(0, np.int64)
+            some = len(at)
+            gather = lambda i, kind: np.concatenate([x[i] for x in out]).astype(kind) if out else np.zeros(0, kind)
+            words = pa.concat_arrays([x[1] for x in out]) if out else pa.array([], pa.binary())
+            nothing = lambda n, kind: pa.nulls(n, kind)
+            past, fallback = gather(2, np.int64), gather(4, np.int64)
+            unseen = m.transition[past, fallback] + m.unseen[fallback]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([ids, pa.nulls(len(some), pa.int64())]),
-                    pa.array(np.concatenate([keys, keys[word_row[some]]])),
-                    pa.concat_arrays([pa.array(held_out), pa.nulls(len(some), pa.bool_())]),
-                    pa.array(np.concatenate([np.diff(bounds), times])),
-                    pa.concat_arrays([pa.array(known.astype(np.int64)), pa.array(hashes[some].view(np.int64))]),
-                    pa.concat_arrays([pa.array(base - np.diff(bounds) * denominator), nothing]),
-                    pa.concat_arrays([pa.array(model_score), pa.array(m.unseen[endings[some]])]),
-                    pa.array(np.arange(k + len(some)) < k),
+                    pa.concat_arrays([batch.column(0), nothing(some, pa.int64())]),
+                    pa.array(np.concatenate([dk, dk[at]])),
+                    pa.concat_arrays([pa.array(held_out_of(batch.column(0).to_pylist())), nothing(some, pa.bool_())]),
+                    pa.array(np.concatenate([n_tokens.astype(np.int64), gather(3, np.int64)])),
+                    pa.concat_arrays([pa.array(n_known.astype(np.int64)), nothing(some, pa.int64())]),
+                    pa.concat_arrays([pa.array(base - n_tokens * denominator), nothing(some, pa.float64())]),
+                    pa.array(np.concatenate([model_score, unseen])),
+                    pa.concat_arrays([nothing(k, pa.binary()), words]),
+                    pa.concat_arrays([nothing(k, pa.int16()), pa.array(past.astype(np.int16))]),
                 ],
-                ["doc_id", "dk", "held_out", "n", "known", "base", "score", "text"],
+                ["doc_id", "dk", "held_out", "n", "known", "base", "score", "w", "past"],
             )
 
-    parts = written(rows.mapInArrow(local, "doc_id long, dk long, held_out boolean, n long, known long, base double, score double, text boolean"), "scores")
-    texts, rare = parts.where("text"), parts.where("not text")
+    kinds = "doc_id long, dk long, held_out boolean, n long, known long, base double, score double, w binary, past short"
+    found_parts = written(rows.mapInArrow(local, kinds), "scores")
+    texts, rare = found_parts.where("w is null"), found_parts.where("w is not null")
     c = F.col("c")
-    joined = rare.select("dk", "n", F.col("known").alias("h"), F.col("score").alias("unseen")).join(table.select("h", "c"), "h", "left")
+    joined = rare.select("dk", "n", "w", "past", F.col("score").alias("unseen")).join(model_words.select("w", "c", "cls"), "w", "left")
+    numbers = lambda x: F.expr(f"array({','.join(f'{float(v)!r}D' for v in x.ravel())})")
+    flat, inside = numbers(model.transition), numbers(model.size)
+    of_known = F.get(flat, F.col("past") * CLASSES + F.col("cls")) + F.log10(c - discount) - F.get(inside, F.col("cls").cast("int"))
     sums = joined.groupBy("dk").agg(
         F.sum(F.when(c.isNotNull(), F.col("n")).otherwise(0)).alias("more"),
         F.sum(F.col("n") * F.log10(F.coalesce(c, F.lit(0)) + 1.0)).alias("base_more"),
-        F.sum(F.col("n") * F.when(c.isNotNull(), F.log10(c - discount)).otherwise(F.col("unseen"))).alias("score_more"),
+        F.sum(F.col("n") * F.when(c.isNotNull(), of_known).otherwise(F.col("unseen"))).alias("score_more"),
     )
     copies = texts.groupBy("dk").agg(F.count("*").alias("copies"))  # rows given several times sent their words as often
     sums = sums.join(copies, "dk").select("dk", *[(F.col(x) / F.col("copies")).alias(x) for x in ("more", "base_more", "score_more")])

@@ -1,33 +1,44 @@
 """Main text of web pages, with boilerplate found by a suffix array over each host's pages.
 
-A page is scanned into blocks of text, each in one of three zones: content (inside the page's article or main element),
-chrome (menus, headers, footers, sidebars, notices, adverts, forms and comments by element, role, class or id) and open
-(everything in the body of a page that has no such container). The token streams of chrome and open blocks of all
-pages of a host form its array of suffixes, ordered by host and their first twelve tokens; suffixes that agree in them on
-two distinct pages mark those tokens as boilerplate. Open text keeps its unique runs; content is kept whole, since the page
-itself says what it is, and chrome goes. Copies of one page are not distinct pages.
-
-No host is gathered in one task: suffixes are grouped by their tokens with partial aggregation, and pages meet only the
-places that were found in them.
+A page is parsed once into blocks of text, each in one of four zones: content (inside the page's article or main element),
+chrome (what elements, roles and plain names say is a menu, header, footer, sidebar, advert, form or comment), doubtful
+(inside the content, under a name that is often but not always chrome) and open (everything else). All but the content is
+the host's token stream. Each of its suffixes is told by the host and its first twelve tokens, or by the whole block if
+that ends before; the array of them is range-partitioned by sampled splitters, sorted, and neighbours of one host that
+agree in all these tokens on two distinct pages mark boilerplate. Equal beginnings never part at a splitter, so no
+neighbours need to be compared over a boundary between partitions.
+
+Doubtful and open blocks lose the runs so marked and keep their unique ones; doubtful blocks that are mostly links go, too.
+Open text beside an article or main element stays only if its unique runs outweigh that content, as where the elements
+are teasers. Content stays whole, also where pages share its sentences: they are part of the article on each of them.
+Copies of one page are not distinct pages.
+
+No host is gathered in one task: batches send each suffix once, whatever number of their pages has it.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CONTENT, CHROME, OPEN = range(3)
+from feedloom.llm.common import written
+
+CONTENT, CHROME, OPEN, DOUBTFUL = range(4)
 #: Tokens that two suffixes must share.
 LONG = 12
+#: Bytes of packed blocks for which one task marks runs at once.
+PART = 4 << 20
+#: Between the tokens of a suffix; before a suffix that is one whole block.
+GAP, WHOLE = " ", "\x01"
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)|<\Z""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
@@ -37,7 +48,9 @@ GONE = frozenset("head script style title template noscript svg math canvas obje
 SIDE = frozenset("nav footer aside form menu dialog search fieldset".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-SIDE_WORDS = frozenset("nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar aside ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social footer header masthead topbar toolbar pagination pager related recommended widget copyright legal disclaimer search".split())
+#: Names of classes and ids that say chrome everywhere, and those that say so outside the content and leave doubt inside.
+SIDE_WORDS = frozenset("nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar aside ad ads adv advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup footer pagination pager".split())
+DOUBTFUL_WORDS = frozenset("promotion banner notice notices notification alert login share sharing social header masthead topbar toolbar related recommended widget copyright legal disclaimer search".split())
 COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
 
 
@@ -45,6 +58,7 @@ COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond di
 class Block:
     zone: int
     text: str
+    heading: bool = False
 
 
 @dataclass
@@ -55,7 +69,8 @@ class _Open:
     inside: bool
     header: bool
     heading: bool = False
-    parts: list[str] = field(default_factory=list)
+    doubtful: bool = False
+    link: bool = False
 
 
 def _words(value: str) -> set[str]:
@@ -77,35 +92,39 @@ def _state(tag: str, attributes: str, above: _Open) -> _Open:
                 inside |= value.lower() == "main" and not chrome
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                 gone = True
-    if names & COMMENT_WORDS or names & SIDE_WORDS and tag not in ("html", "body", "article", "main", "p", *HEADINGS):
+    doubtful, named = above.doubtful, tag not in ("html", "body", "article", "main", "p", *HEADINGS)
+    if names & COMMENT_WORDS or named and names & SIDE_WORDS:
         chrome = True
+    elif named and names & DOUBTFUL_WORDS:
+        chrome, doubtful = chrome or not inside, True
     if tag in ("article", "main") and not chrome:
         inside = True
-    return _Open(tag, chrome, gone, inside, header, above.heading or tag in HEADINGS)
+    return _Open(tag, chrome, gone, inside, header, above.heading or tag in HEADINGS, doubtful, above.link or tag == "a")
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks in order, their white space made one space; empty ones are left out."""
     root = _Open("", False, False, False, False)
     stack, out, parts = [root], [], []
-    found_inside = False
-    zone = OPEN
+    zone, heading, linked = OPEN, False, 0
 
     def close() -> None:
-        nonlocal parts
+        nonlocal parts, linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(zone, text))
-            parts = []
+                menu = zone == DOUBTFUL and 2 * linked >= len("".join(parts))
+                out.append(Block(CHROME if menu else zone, text, heading))
+            parts, linked = [], 0
 
     def enter() -> None:
-        nonlocal zone, found_inside
+        nonlocal zone, heading
         top = stack[-1]
+        heading = top.heading
         if top.chrome or top.header and (not top.inside or not top.heading):
             zone = CHROME
         elif top.inside:
-            zone, found_inside = CONTENT, True
+            zone = DOUBTFUL if top.doubtful else CONTENT
         else:
             zone = OPEN
 
@@ -116,6 +135,7 @@ def blocks_of(page: str) -> list[Block]:
         begin = m.start() if m else size
         if begin > at and not stack[-1].gone:
             parts.append(page[at:begin])
+            linked += begin - at if stack[-1].link else 0
         if not m:
             break
         at = m.end()
@@ -144,7 +164,7 @@ def blocks_of(page: str) -> list[Block]:
                 continue
             before = stack[-1]
             state = _state(tag, m[3], before)
-            if not block and (state.chrome, state.gone) != (before.chrome, before.gone):
+            if not block and (state.chrome, state.gone, state.doubtful) != (before.chrome, before.gone, before.doubtful):
                 close()  # an inline element of another zone
             stack.append(state)
             if tag in RAW:
@@ -156,42 +176,77 @@ def blocks_of(page: str) -> list[Block]:
             close()
         enter()
     close()
-    if found_inside:
-        out = [Block(CHROME, b.text) if b.zone == OPEN else b for b in out]
     return out
 
 
-def suffixes(blocks: list[Block], host: str) -> Iterator[tuple[int, int]]:
-    """(hash of host and the first LONG tokens, place of the first in the stream) of every suffix that has so many."""
-    tokens = [t for b in blocks if b.zone != CONTENT for t in b.text.split(" ")]
+def stream(blocks: list[Block]) -> tuple[list[str], list[int], list[int]]:
+    """(tokens of all blocks but the content, the block of each, the place after each block's last token)."""
+    tokens, owner, ends = [], [], []
+    for i, b in enumerate(blocks):
+        if b.zone != CONTENT:
+            some = b.text.split(" ")
+            tokens += some
+            owner += [i] * len(some)
+        ends.append(len(tokens))
+    return tokens, owner, ends
+
+
+def suffixes(blocks: list[Block]) -> Iterator[tuple[str, int, int]]:
+    """(beginning of the suffix, place of its first token, tokens) of every suffix that two pages can share.
+
+    A beginning has LONG tokens of the stream, or is a whole block that is shorter than that and no heading.
+    """
+    tokens, owner, ends = stream(blocks)
     for i in range(len(tokens) - LONG + 1):
-        yield xxhash.xxh64_intdigest("\0".join((host, *tokens[i : i + LONG]))), i
+        yield GAP.join(tokens[i : i + LONG]), i, LONG
+    for i, b in enumerate(blocks):
+        size = ends[i] - (ends[i - 1] if i else 0)
+        if 0 < size < LONG and not b.heading:
+            yield WHOLE + b.text, ends[i] - size, size
+
+
+def judged(blocks: list[Block]) -> bool:
+    """Whether the page has text that the array decides on."""
+    return any(b.zone in (OPEN, DOUBTFUL) for b in blocks)
 
 
-def main_text(blocks: list[Block], found: np.ndarray) -> str:
-    """Content, and what repeated runs leave of open blocks; `found` has where the runs of LONG tokens begin.
+def main_text(blocks: list[Block], repeated: Callable[[str], bool]) -> str:
+    """Content, and what repeated runs leave of doubtful and open blocks.
 
     A block goes if runs cover it all. Else it loses the runs that lie inside it: one that only reaches into it from
     another block doesn't take its first or last words.
     """
-    sizes = [len(b.text.split(" ")) if b.zone != CONTENT else 0 for b in blocks]
-    ends = np.cumsum(sizes)
-    everywhere = np.zeros(int(ends[-1]) + LONG + 1 if blocks else LONG + 1, np.int64)
-    inside = everywhere.copy()
-    whole = found[np.searchsorted(ends, found, "right") == np.searchsorted(ends, found + LONG - 1, "right")]
-    for cover, at in ((everywhere, found), (inside, whole)):
-        np.add.at(cover, at, 1)
-        np.add.at(cover, at + LONG, -1)
-    everywhere, inside = (np.cumsum(x) > 0 for x in (everywhere, inside))
-    out = []
-    for b, size, end in zip(blocks, sizes, ends, strict=True):
+    if not judged(blocks):
+        return " ".join(b.text for b in blocks if b.zone == CONTENT)
+    tokens, owner, ends = stream(blocks)
+    everywhere, inside = np.zeros(len(tokens) + 1, np.int64), np.zeros(len(tokens) + 1, np.int64)
+    for beginning, at, size in suffixes(blocks):
+        if repeated(beginning):
+            for cover in (everywhere, inside) if owner[at] == owner[at + size - 1] else (everywhere,):
+                cover[at] += 1
+                cover[at + size] -= 1
+    everywhere, inside = np.cumsum(everywhere) > 0, np.cumsum(inside) > 0
+    out, content, unique = [], 0, 0
+    for i, b in enumerate(blocks):
         if b.zone == CONTENT:
-            out.append(b.text)
-        elif b.zone == OPEN and not everywhere[end - size : end].all():
-            left = " ".join(t for t, gone in zip(b.text.split(" "), inside[end - size : end], strict=True) if not gone)
-            if left:
-                out.append(left)
-    return " ".join(out)
+            out.append((b.zone, b.text))
+            content += len(b.text)
+        elif b.zone != CHROME:
+            here = range(ends[i - 1] if i else 0, ends[i])
+            left = " ".join(tokens[k] for k in here if not inside[k])
+            if left and not all(everywhere[k] for k in here):
+                out.append((b.zone, left))
+                unique += len(left) if b.zone == OPEN else 0
+    return " ".join(t for zone, t in out if zone != OPEN or not content or unique > content)
+
+
+def pack(blocks: list[Block]) -> bytes:
+    return zstandard.compress("\n".join(f"{b.zone}{int(b.heading)}{b.text}" for b in blocks).encode(), 3)
+
+
+def unpack(packed: bytes) -> list[Block]:
+    lines = zstandard.decompress(packed).decode().split("\n")
+    return [Block(int(x[0]), x[2:], x[1] == "1") for x in lines if x]
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -203,42 +258,66 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """
     page = F.coalesce(F.col("html").cast("string"), F.lit(""))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
-    rows = pages.select("page_id", "url", page.alias("html"), F.xxhash64(page).alias("pk"), host.alias("host"))
-
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple[int, int, int]] = []
-            for text, name, pk in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                out += ((k, pk, i) for k, i in suffixes(blocks_of(text.as_py()), name))
-            x = np.array(out, dtype=[("k", "u8"), ("pk", "i8"), ("i", "i4")]) if out else np.zeros(0, [("k", "u8"), ("pk", "i8"), ("i", "i4")])
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x["k"]).view(np.int64)), pa.array(np.ascontiguousarray(x["pk"])), pa.array(np.ascontiguousarray(x["i"]))], ["k", "pk", "i"])
-
-    array = rows.select("html", "host", "pk").mapInArrow(cut, "k long, pk long, i int")
-    repeated = array.groupBy("k").agg(F.min("pk").alias("a"), F.max("pk").alias("b")).where("a <> b").select("k")
-    found = array.join(repeated, "k").groupBy("pk").agg(F.collect_set("i").alias("found"))
+    rows = pages.select("page_id", "url", F.xxhash64(page).alias("pk"), host.alias("host"), page.alias("html"))
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32, 0
         for batch in batches:
-            made = []
-            for text in batch.column(3):
-                blocks = blocks_of(text.as_py())
-                keep = blocks if any(b.zone == OPEN for b in blocks) else [b for b in blocks if b.zone == CONTENT]
-                made.append(zstandard.compress("\n".join(f"{b.zone}{b.text}" for b in keep).encode(), 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(made, pa.binary())], ["page_id", "url", "pk", "blocks"])
+            blocks, parts, open_ = [], [], []
+            for text in batch.column(4):
+                found = blocks_of(text.as_py())
+                blocks.append(pack(found))
+                open_.append(judged(found))
+                held += len(blocks[-1])
+                parts.append(part)
+                if held > PART:
+                    part, held = part + 1, 0
+            made = [pa.array(blocks, pa.binary()), pa.array(parts, pa.int64()), pa.array(open_)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *made], [*batch.schema.names[:4], "blocks", "part", "judged"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    scanned = rows.select("page_id", "url", "pk", "html").mapInArrow(scan, f"page_id {kind}, url string, pk long, blocks binary")
+    names = f"page_id {kind}, url string, pk long, host string, blocks binary, part long, judged boolean"
+    parsed = written(rows.mapInArrow(scan, names), "page-blocks")
 
-    def unique(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def begin(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[tuple[str, str, int], list] = {}
+            columns = (batch.column(i).to_pylist() for i in range(5))
+            for pk, name, packed, part, wanted in zip(*columns, strict=True):
+                for beginning, _, _ in suffixes(unpack(packed)):
+                    seen = found.setdefault((name, beginning, part), [pk, pk, wanted])
+                    seen[0], seen[1], seen[2] = min(seen[0], pk), max(seen[1], pk), seen[2] or wanted
+            hosts, keys, parts = zip(*found, strict=True) if found else ((), (), ())
+            least, most, some = zip(*found.values(), strict=True) if found else ((), (), ())
+            made = [pa.array(hosts, pa.string()), pa.array(keys, pa.string()), *(pa.array(x, pa.int64()) for x in (parts, least, most)), pa.array(some, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(made, ["host", "beginning", "at", "least", "most", "wanted"])
+
+    def neighbours(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Compares each suffix of the sorted array with the one before it; only places of text to be judged are kept."""
+        run, least, most, marked, waiting = None, 0, 0, False, []
         for batch in batches:
-            texts = []
-            for packed, places in zip(batch.column(2), batch.column(3), strict=True):
-                lines = zstandard.decompress(packed.as_py()).decode().split("\n")
-                blocks = [Block(int(x[0]), x[1:]) for x in lines if x]
-                # a page of which only content was kept has no open text to judge
-                at = np.array(places.as_py() or [], np.int64) if any(b.zone == OPEN for b in blocks) else np.zeros(0, np.int64)
-                texts.append(main_text(blocks, at))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
-
-    joined = scanned.join(found, "pk", "left").select("page_id", "url", "blocks", "found")
-    return joined.mapInArrow(unique, f"page_id {kind}, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))
+            out = []
+            for name, beginning, at, low, high, wanted in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if run != (name, beginning):
+                    run, least, most, marked, waiting = (name, beginning), low, high, False, []
+                least, most = min(least, low), max(most, high)
+                if wanted:
+                    waiting.append(at)
+                if marked or least < most:
+                    marked = True
+                    out += [(x, name, beginning) for x in waiting]
+                    waiting = []
+            columns = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.string(), pa.string()), strict=True)], ["at", "host", "beginning"])
+
+    array = parsed.select("pk", "host", "blocks", "part", "judged").mapInArrow(begin, "host string, beginning string, at long, least long, most long, wanted boolean")
+    array = array.repartitionByRange("host", "beginning").sortWithinPartitions("host", "beginning")
+    found = array.mapInArrow(neighbours, "at long, host string, beginning string")
+
+    def keep(left: pa.Table, right: pa.Table) -> pa.Table:
+        marked = set(zip(right["host"].to_pylist(), right["beginning"].to_pylist(), strict=True))
+        texts = [main_text(unpack(packed), lambda x, h=name: (h, x) in marked) for packed, name in zip(left["blocks"].to_pylist(), left["host"].to_pylist(), strict=True)]
+        return pa.table([left["page_id"], left["url"], pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+    kept = parsed.groupBy("part").cogroup(found.groupBy("at")).applyInArrow(keep, f"page_id {kind}, url string, text string")
+    return kept.withColumn("n_chars", F.char_length("text").cast("long"))

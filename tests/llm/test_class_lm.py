@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -47,11 +48,115 @@ def test_exchange_finds_classes():
     assert len({(k, c) for k, c in zip(kind[:40], cls, strict=True)}) == 3
 
 
-def test_units_are_a_distribution():
+def test_model_is_a_distribution():
     rng = np.random.default_rng(10)
-    u = class_lm.WORDS + class_lm.ENDINGS + 1
-    pairs = rng.poisson(0.01, (u, u)).astype(float)
-    cls = rng.integers(0, 10, u)
-    m = class_lm.Model(pairs, cls, np.ones(class_lm.ENDINGS), np.ones(class_lm.ENDINGS), 0.5)
+    counts, cls = rng.integers(1, 50, 300), rng.integers(0, 10, 300)
+    table = rng.dirichlet(np.ones(10), 10) * 5
+    table = table / table.sum(axis=0) * np.bincount(cls, counts, 10)
+    m = class_lm.Model(table, np.bincount(cls, minlength=10), 0.5)
     assert np.allclose((10**m.transition).sum(axis=1), 1)
-    assert np.allclose(np.bincount(cls, 10**m.unit), 1)
+    assert np.allclose(np.bincount(cls, 10 ** m.known(counts, cls), 10) + 10**m.unseen, 1)
+
+
+def brute_scores(rows):
+    """The model of the docstring, word by word in plain Python; the exchange of units is the operator's own."""
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2
+    train = [[w.encode() for w in words(x)] for i, x in rows if not held(i)]
+    c = Counter(w for t in train for w in t)
+    order = sorted(c, key=lambda w: (-c[w], w))
+    frequent = {w: i for i, w in enumerate(order[: class_lm.WORDS])}
+    code = {}
+
+    def unit(w):
+        if w in frequent:
+            return frequent[w]
+        if w not in code:
+            tail = w[-3:][::-1]
+            value = 0
+            for k in range(3):
+                value = value * 257 + (tail[k] + 1 if k < len(tail) else 0)
+            code[w] = class_lm.WORDS + int(class_lm.mixed(np.array([value], np.uint64))[0] % np.uint64(class_lm.ENDINGS))
+        return code[w]
+
+    pairs = np.zeros((class_lm.UNITS, class_lm.UNITS))
+    for t in train:
+        u = [class_lm.END, *(unit(w) for w in t), class_lm.END]
+        for a, b in zip(u, u[1:], strict=False):
+            pairs[a, b] += 1
+    cls = class_lm.exchange(pairs)
+    member = np.eye(class_lm.CLASSES)[cls]
+    table = member.T @ pairs @ member
+    past = {}
+    for t in train:
+        before = class_lm.END
+        for w in t:
+            past.setdefault(w, Counter())[cls[before]] += 1
+            before = unit(w)
+    f = lambda x: x * math.log(x) if x > 0 else 0.0
+    of = {}
+    for w in c:
+        own = cls[unit(w)]
+        of[w] = own
+        if w in frequent:
+            continue
+        gains = []
+        for b in range(class_lm.CLASSES - 1):
+            sign = -1 if b == own else 1
+            gain = sum(sign * (f(max(table[h, b] + sign * n, 0)) - f(table[h, b])) for h, n in past[w].items())
+            total = table[:, b].sum()
+            gains.append(gain - sign * (f(max(total + sign * c[w], 0)) - f(total)))
+        best = int(np.argmax(gains))
+        if gains[best] - gains[own] > math.log(class_lm.CLASSES):
+            of[w] = best
+    counts, types = np.zeros((class_lm.CLASSES, class_lm.CLASSES)), np.zeros(class_lm.CLASSES)
+    for w, h in past.items():
+        types[of[w]] += 1
+        for k, n in h.items():
+            counts[k, of[w]] += n
+    counts[:, cls[class_lm.END]] += member.T @ pairs[:, class_lm.END]
+    n1, n2 = sum(x == 1 for x in c.values()), sum(x == 2 for x in c.values())
+    d = min(0.95, max(0.05, n1 / (n1 + 2 * n2)))
+    size = counts.sum(axis=0)
+    share = (size + 1) / (size.sum() + class_lm.CLASSES)
+    move = lambda h, k: math.log10((counts[h, k] + class_lm.BETA * share[k]) / (counts[h].sum() + class_lm.BETA))
+    out = []
+    for _, x in rows:
+        before, score = class_lm.END, 0.0
+        for w in (t.encode() for t in words(x)):
+            k = of.get(w, cls[unit(w)])
+            score += move(cls[before], k)
+            if w in c:
+                score += math.log10(c[w] - d) - math.log10(size[k])
+            elif types[k]:
+                score += math.log10(d * types[k]) - math.log10(size[k])
+            before = unit(w)
+        out.append(score + move(cls[before], cls[class_lm.END]))
+    return out, of, cls, unit
+
+
+def test_score_against_brute_force(spark, monkeypatch):
+    r = random.Random(5)
+    kinds = [["".join(r.choices("abcdefghijklmn", k=5)) for _ in range(500)] for _ in range(3)]
+    rows = [(i, " ".join(kinds[k % 3][int(500 * r.random() ** 2)] for k in range(r.randint(0, 120)))) for i in range(300)]
+    rows += [(400, None), (401, rows[5][1]), (401, rows[5][1]), (None, "never seen words"), (402, "x" * 70 + " a")]
+    want, of, cls, unit = brute_scores(rows)
+    assert any(of[w] != cls[unit(w)] for w in of)  # some words left the class of their ending
+    docs = documents(spark, rows)
+    monkeypatch.setattr(class_lm, "HELD", class_lm.WORDS + 40)
+    for _ in range(2):  # with words that meet their counts in a join, and with all of them held
+        got = class_lm.scores(docs).collect()
+        assert sorted((str(r.doc_id), round(r.score, 6)) for r in got) == sorted((str(i), round(s, 6)) for (i, _), s in zip(rows, want, strict=True))
+        monkeypatch.setattr(class_lm, "HELD", 65_536)
+
+
+def test_pieces_of_rows():
+    texts = ["a b c " * 50, "", "x" * 90, " ", "one two", "", "q w e r " * 30]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offs = np.cumsum([0, *map(len, texts)])
+    for limit in (16, 64, 1000):
+        seen = {}
+        for tokens, rows, first in class_lm.parts_of(raw, offs, limit):
+            for i, (r, f) in enumerate(zip(rows.tolist(), first.tolist(), strict=True)):
+                assert f == (r not in seen)
+                seen.setdefault(r, []).extend(tokens.found[p].decode() for p in tokens.place[tokens.bounds[i] : tokens.bounds[i + 1]])
+        assert seen == {i: words(t) for i, t in enumerate(texts)}

@@ -1,14 +1,14 @@
 from __future__ import annotations
 
-import numpy as np
+import random
+from collections import defaultdict
 
 from feedloom.llm import html_text
-
-NONE = np.zeros(0, np.int64)
+from feedloom.llm.html_text import CHROME, CONTENT, DOUBTFUL, LONG, OPEN, Block
 
 
 def text(page):
-    return html_text.main_text(html_text.blocks_of(page), NONE)
+    return html_text.main_text(html_text.blocks_of(page), lambda _: False)
 
 
 def test_containers():
@@ -34,7 +34,64 @@ def test_boilerplate_of_a_host(spark):
 
 def test_runs_inside_a_block():
     tokens = [f"t{i}" for i in range(30)]
-    blocks = [html_text.Block(html_text.CHROME, " ".join(tokens[:6])), html_text.Block(html_text.OPEN, " ".join(tokens[6:]))]
-    assert html_text.main_text(blocks, np.array([0])) == " ".join(tokens[6:])
-    assert html_text.main_text(blocks, np.array([10])) == " ".join(tokens[6:10] + tokens[22:])
-    assert html_text.main_text(blocks, np.array([4, 10, 18])) == ""
+    blocks = [Block(CHROME, " ".join(tokens[:6])), Block(OPEN, " ".join(tokens[6:]))]
+    at = lambda *places: {" ".join(tokens[i : i + LONG]) for i in places}.__contains__
+    assert html_text.main_text(blocks, at(0)) == " ".join(tokens[6:])
+    assert html_text.main_text(blocks, at(10)) == " ".join(tokens[6:10] + tokens[22:])
+    assert html_text.main_text(blocks, at(4, 10, 18)) == ""
+
+
+def test_names_inside_the_content_leave_doubt():
+    page = '<article><p>one</p><div class="legal-notice">two <a href="x">three</a> four</div><div class="related"><a>five</a> <a>six</a></div><div class="ad">no</div><h2 class="copyright">seven</h2></article>'
+    assert text(page) == "one two three four seven"
+    zones = {b.text: b.zone for b in html_text.blocks_of(page)}
+    assert zones["two three four"] == DOUBTFUL and zones["one"] == CONTENT and zones["no"] == CHROME
+    marked = {html_text.WHOLE + "two three four", html_text.WHOLE + "one"}
+    assert html_text.main_text(html_text.blocks_of(page), marked.__contains__) == "one seven"
+    assert text('<div class="legal-notice">two</div><p>x</p>') == "x"
+
+
+def test_open_text_beside_an_article():
+    teasers = "<div><h1>Head</h1><p>" + "long body of the page " * 5 + "</p></div><article>teaser</article>"
+    assert text(teasers) == "Head " + ("long body of the page " * 5).strip() + " teaser"
+    assert text("<article>" + "a real article " * 9 + "</article><div>aside</div>") == ("a real article " * 9).strip()
+
+
+def brute(rows):
+    """What each page keeps, by comparing all beginnings of all suffixes of all distinct pages of a host."""
+    where = defaultdict(set)
+    for _, url, page in rows:
+        tokens, ends = [], []
+        blocks = html_text.blocks_of(page)
+        for b in blocks:
+            some = b.text.split(" ") if b.zone != CONTENT else []
+            if 0 < len(some) < LONG and not b.heading:
+                where[url.split("/")[2], "block", b.text].add(page)
+            tokens += some
+            ends.append(len(tokens))
+        for i in range(len(tokens) - LONG + 1):
+            where[url.split("/")[2], "run", " ".join(tokens[i : i + LONG])].add(page)
+    out = []
+    for i, url, page in rows:
+        host = url.split("/")[2]
+        found = lambda x, h=host: len(where[(h, "block", x[1:]) if x[0] == html_text.WHOLE else (h, "run", x)]) > 1
+        out.append((i, html_text.main_text(html_text.blocks_of(page), found)))
+    return sorted(out)
+
+
+def test_array_against_brute_force(spark):
+    r = random.Random(6)
+    say = lambda k: " ".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=k))
+    shared = [say(k) for k in (3, 8, 15, 40, 60)]
+    rows = []
+    for i in range(60):
+        parts = []
+        for _ in range(r.randint(1, 7)):
+            words = r.choice(shared) if r.random() < 0.5 else say(r.randint(1, 80))
+            parts.append(r.choice(["<div>%s</div>", "<p>%s</p>", "<nav>%s</nav>", "<h2>%s</h2>", "<p>x %s</p>", '<article>%s<div class="notice">%s</div></article>'][: 6 if i % 3 else 5]).replace("%s", words))
+        rows.append((i, f"http://h{i % 3}.example/{i}", "".join(parts)))
+    rows += [(100 + i, f"http://h0.example/copy{i}", rows[0][2]) for i in range(30)] + [(200, "http://h1.example/long", "<p>" + say(20_000) + "</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = sorted((x.page_id, x.text) for x in html_text.main_texts(pages).collect())
+    assert got == brute(rows)
+    assert any(t != html_text.main_text(html_text.blocks_of(p), lambda _: False) for (_, t), (_, _, p) in zip(got, rows, strict=False))
