@@ -33,14 +33,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Rolling, chunks, keyed, mixed, ranges, text_bytes
+from feedloom.llm.common import CHUNK, Rolling, chunks, keyed, mixed, ranges, text_bytes
 
 WIDTH, GRAM, SPAN = 100, 37, 64
 #: Bytes of text for each partition.
 PART = 12 << 20
 #: Documents whose anchors are sampled for splitters. It sets only how even the buckets are.
 SAMPLED = 2000
-#: Windows sorted at once, unless one gram has more.
+#: Windows sorted at once.
 SLICE = 150_000
 NONE = np.iinfo(np.int64).min
 DECIDED, ANCHORS, CONTEXTS = range(3)
@@ -74,6 +74,18 @@ def joined(fields: tuple, parts: list[dict[str, np.ndarray]]) -> dict[str, np.nd
     return {name: np.concatenate([p[name] for p in parts]) if parts else np.zeros(0, kind) for name, kind in fields}
 
 
+def anchors_of(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
+    """anchors, of rows of any length: a long one goes piece by piece, each with the bytes that its last windows need."""
+    if len(offs) != 2 or len(data) <= 2 * CHUNK:
+        return anchors(data, offs)
+    made = []
+    for at in range(0, len(data), CHUNK):
+        part = data[at : at + CHUNK + WIDTH - 1]
+        made.append(anchors(part, np.array([0, len(part)])))
+        made[-1]["lo"] = made[-1]["lo"] + at
+    return {k: np.concatenate([m[k] for m in made]) for k in made[0]}
+
+
 def anchors(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     """The anchors of all windows in the rows: gram g, whole context x, row, first window's place in it, windows, key.
 
@@ -143,21 +155,42 @@ def multikey_order(words: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np
     return order, np.cumsum(split)
 
 
-def repeated_windows(texts: np.ndarray, offs: np.ndarray, c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(context, window in it) of all windows that have an equal one before them among contexts in corpus order."""
+def repeated_windows(texts: np.ndarray, offs: np.ndarray, c: dict[str, np.ndarray], limit: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(context, window in it) of all windows that have an equal one before them among contexts in corpus order.
+
+    At most about `limit` (SLICE) windows are held as bytes at once, however many one gram has.
+    """
+    limit = limit or SLICE
     context = np.repeat(np.arange(len(c["n"])), c["n"])
     inside = ranges(np.zeros(len(c["n"]), np.int64), c["n"])
     if not len(context):
         return context, inside
-    words = -(-WIDTH // 8)
-    rows = np.zeros((len(context), words * 8), np.uint8)
-    rows[:, :WIDTH] = np.lib.stride_tricks.sliding_window_view(texts, WIDTH)[offs[context] + inside]
-    order, run = multikey_order(rows.view(">u8"), c["g"][context])
-    again = order[1:][run[1:] == run[:-1]]
-    again.sort()
+    if len(context) <= limit:
+        again = _again(texts, offs[context] + inside, c["g"][context])
+        return context[again], inside[again]
+    # equal windows agree in some of their bytes, so classes by these can be sorted one after the other
+    eight = np.ndarray((len(texts) - 7,), "<u8", texts.tobytes(), strides=(1,))
+    kind = np.zeros(len(context), np.uint64)
+    for skip in (0, 31, 62, WIDTH - 8):
+        kind = mixed(kind ^ eight[offs[context] + inside + skip])
+    kind = kind % np.uint64(-(-len(context) // limit) * 2)
+    found = []
+    for k in np.unique(kind):
+        some = np.flatnonzero(kind == k)
+        found.append(some[_again(texts, offs[context[some]] + inside[some], c["g"][context[some]])])
+    again = np.sort(np.concatenate(found))
     return context[again], inside[again]
 
 
+def _again(texts: np.ndarray, at: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Which of the windows that begin at these places have an equal one of their group before them, in order."""
+    words = -(-WIDTH // 8)
+    rows = np.zeros((len(at), words * 8), np.uint8)
+    rows[:, :WIDTH] = np.lib.stride_tricks.sliding_window_view(texts, WIDTH)[at]
+    order, run = multikey_order(rows.view(">u8"), group)
+    return np.sort(order[1:][run[1:] == run[:-1]])
+
+
 def runs_of(context: np.ndarray, inside: np.ndarray, c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """Neighbouring windows as runs of a first one and a number."""
     new = np.ones(len(context), bool)
@@ -209,7 +242,7 @@ def dedup(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> Da
     def sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offs in chunks(*text_bytes(batch.column(0))):
-                found = anchors(data, offs)
+                found = anchors_of(data, offs)
                 yield pa.RecordBatch.from_arrays([pa.array(found["key"][mixed(found["g"] + np.uint64(1)) % np.uint64(16) == 0].astype(np.int64) ^ NONE)], ["key"])
 
     sample = rows.select("text").sample(min(1.0, SAMPLED / max(n, 1)), 42) if n > SAMPLED else rows.select("text")
@@ -222,7 +255,7 @@ def dedup(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> Da
             dk = batch.column(1).to_numpy(zero_copy_only=False)
             whole = []
             for at, _, data, offs in chunks(*text_bytes(batch.column(2))):
-                c = anchors(data, offs)
+                c = anchors_of(data, offs)
                 row = c.pop("row") + at
                 whole.append(c | {"doc": ids[row], "dk": dk[row]})
             c = {k: np.concatenate([w[k] for w in whole]) for k in whole[0]} if whole else None

@@ -42,3 +42,22 @@ def test_multikey_order():
     rows = [(group[i], *words[i], i) for i in range(500)]
     assert [rows[i] for i in order] == sorted(rows)
     assert all((rows[a][:-1] == rows[b][:-1]) == (run[k] == run[k + 1]) for k, (a, b) in enumerate(zip(order, order[1:], strict=False)))
+
+
+def test_slices_and_pieces_change_nothing(monkeypatch):
+    rng = np.random.default_rng(7)
+    body = rng.choice(np.frombuffer(b"ab", np.uint8), 3000)
+    body[1000:1400] = body[:400]
+    n = np.full(40, 60)
+    offs = np.concatenate([rng.integers(0, 2800, 20), rng.integers(1000, 1200, 20)])
+    c = {"n": n, "g": np.repeat([1, 2], 20)}
+    want = suffix_dedup.repeated_windows(body, offs, c)
+    for limit in (50, 300):
+        got = suffix_dedup.repeated_windows(body, offs, c, limit)
+        assert all((a == b).all() for a, b in zip(got, want, strict=True))
+    text = rng.choice(np.frombuffer(b"abcdefgh", np.uint8), 9000)
+    whole = suffix_dedup.anchors(text, np.array([0, 9000]))
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 2000)
+    cut = suffix_dedup.anchors_of(text, np.array([0, 9000]))
+    windows = lambda a: sorted((int(g), int(lo) + k) for g, lo, m in zip(a["g"], a["lo"], a["n"], strict=True) for k in range(m))
+    assert windows(whole) == windows(cut) and len(cut["g"]) > len(whole["g"])
