@@ -64,7 +64,7 @@ def service_content(rows: DataFrame) -> DataFrame:
     time = F.when(F.col("departure_time") != "", F.col("departure_time")).otherwise(F.col("arrival_time"))
     at = F.struct("stop_id", time.alias("time"))
     ends = calls.groupBy("uid", "trip_id").agg(F.min_by(at, F.struct("seq", "row_no")).alias("first"), F.max_by(at, F.struct("seq", -F.col("row_no"))).alias("last"), F.count("*").alias("n"))
-    item = F.concat_ws("", F.col("t.route_id"), F.col("first.stop_id"), F.col("first.time"), F.col("last.stop_id"), F.col("last.time"), F.col("n").cast("string"))
+    item = F.to_json(F.struct("t.route_id", F.struct("first.stop_id", "first.time").alias("first"), F.struct("last.stop_id", "last.time").alias("last"), "n"))
     return trips.join(ends, ["uid", "trip_id"]).groupBy("uid", F.col("t.service_id").alias("service_id")).agg(F.array_sort(F.collect_list(item)).alias("content"))
 
 
@@ -75,8 +75,8 @@ def date_content(days: DataFrame, content: DataFrame) -> DataFrame:
     """
     sets = days.select("uid", "services").distinct()
     each = sets.select("uid", "services", F.explode_outer("services").alias("service_id")).join(content, ["uid", "service_id"], "left")
-    own = F.when(F.col("service_id").isNull(), nothing()).otherwise(F.coalesce("content", F.array(F.concat(F.lit("service"), "service_id"))))
-    hashed = each.groupBy("uid", "services").agg(F.sha2(F.concat_ws("", F.array_sort(F.flatten(F.collect_list(own)))), 256).alias("content"))
+    own = F.when(F.col("service_id").isNull(), nothing()).otherwise(F.coalesce("content", F.array(F.to_json(F.struct(F.col("service_id").alias("service"))))))
+    hashed = each.groupBy("uid", "services").agg(F.sha2(F.to_json(F.array_sort(F.flatten(F.collect_list(own)))), 256).alias("content"))
     return days.join(hashed, ["uid", "services"]).withColumn("runs", F.size("services") > 0)
 
 
@@ -209,3 +209,24 @@ def spans(dates: DataFrame, keys: list[str]) -> DataFrame:
     w = W.partitionBy(*keys).orderBy("date")
     run = F.date_sub("date", F.row_number().over(w))
     return dates.select(*keys, "date").distinct().withColumn("run", run).groupBy(*keys, "run").agg(F.min("date").alias("start"), F.max("date").alias("end")).drop("run")
+
+
+def active_days(days: DataFrame) -> DataFrame:
+    """uid, category, active: dates of each category on which something runs; categories without any are left out."""
+    return days.where(F.size("services") > 0).groupBy("uid", "category").agg(F.count("*").alias("active"))
+
+
+def irregular_list(irregular: DataFrame, trips: DataFrame, most: int, spans: int) -> DataFrame:
+    """The first `most` irregular services of each publication with their first `spans` spans of dates and full counts.
+
+    irregular: uid, service_id, dates, mode; trips: uid, trip_id, service_id.
+    """
+    each = irregular.select("uid", "service_id", F.explode("dates").alias("date"))
+    run = each.withColumn("run", F.datediff("date", F.lit("1970-01-01").cast("date")) - F.row_number().over(W.partitionBy("uid", "service_id").orderBy("date")))
+    ends = run.groupBy("uid", "service_id", "run").agg(F.min("date").alias("start"), F.max("date").alias("end"))
+    listed = ends.groupBy("uid", "service_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("start", "end"))), 1, spans).alias("spans"))
+    counts = trips.groupBy("uid", "service_id").agg(F.count("*").alias("trips"))
+    out = irregular.join(listed, ["uid", "service_id"]).join(counts, ["uid", "service_id"], "left")
+    place = F.row_number().over(W.partitionBy("uid").orderBy("service_id"))
+    kept = out.withColumn("place", place).where(F.col("place") <= most)
+    return kept.select("uid", "service_id", "spans", F.size("dates").alias("date_count"), F.coalesce("trips", F.lit(0)).alias("trips"), "mode")

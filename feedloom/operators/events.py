@@ -76,19 +76,44 @@ def id_ranges(ids: DataFrame, keys: list[str]) -> DataFrame:
     n = F.substr("id", F.lit(2)).cast("long")
     run = ids.select(*keys, n.alias("n")).distinct().withColumn("run", F.col("n") - F.row_number().over(W.partitionBy(*keys).orderBy("n")))
     ends = run.groupBy(*keys, "run").agg(F.min("n").alias("a"), F.max("n").alias("b"))
-    name = lambda c: F.concat(F.lit("c"), F.lpad(c.cast("string"), 7, "0"))
+    name = lambda c: F.format_string("c%07d", c)
     each = F.transform(F.array_sort(F.collect_list(F.struct("a", "b"))), lambda x: F.when(x["a"] == x["b"], name(x["a"])).otherwise(F.concat_ws("-", name(x["a"]), name(x["b"]))))
     return ends.groupBy(*keys).agg(each.alias("ranges"))
 
 
+def group_routes(groups: DataFrame, lines: DataFrame) -> DataFrame:
+    """groups with old_routes and new_routes, the route ids of their lines. lines: pair_id, side, line, route_ids."""
+    out = groups
+    for side in ("old", "new"):
+        each = groups.select("pair_id", "group_key", F.explode(side).alias("line")).join(lines.where(F.col("side") == side), ["pair_id", "line"])
+        routes = each.select("pair_id", "group_key", F.explode("route_ids").alias("r")).groupBy("pair_id", "group_key").agg(F.array_sort(F.collect_set("r")).alias(f"{side}_routes"))
+        out = out.join(routes, ["pair_id", "group_key"], "left").withColumn(f"{side}_routes", F.coalesce(f"{side}_routes", F.array().cast("array<string>")))
+    return out
+
+
 def mappings(matches: DataFrame, groups: DataFrame, matched: DataFrame) -> dict[str, DataFrame]:
-    """Ids that changed while what they name stayed: stops, routes and trips, old to new."""
+    """Ids that changed while what they name stayed: stops, routes and trips, old to new. groups: as of group_routes()."""
     stops = matches.where("old_members is not null and new_members is not null and old_members <> new_members").select("pair_id", F.col("old_members").alias("old"), F.col("new_members").alias("new"))
     routes = groups.where("size(old_routes) > 0 and size(new_routes) > 0 and old_routes <> new_routes").select("pair_id", F.col("group_key").alias("line"), F.col("old_routes").alias("old"), F.col("new_routes").alias("new"), "relation", "confidence")
     trips = matched.where("old_trip <> new_trip").select("pair_id", F.col("old_trip").alias("old"), F.col("new_trip").alias("new")).distinct()
     return {"stops": stops, "routes": routes, "trips": trips}
 
 
+def renumbered_routes(groups: DataFrame) -> DataFrame:
+    """groups of group_routes() with `renumbered`, the route ids that only one side has."""
+    differ = F.array_sort(F.array_union(F.array_except("old_routes", "new_routes"), F.array_except("new_routes", "old_routes")))
+    return groups.withColumn("renumbered", differ)
+
+
+def renumbering(matches: DataFrame, groups: DataFrame, matched: DataFrame) -> DataFrame:
+    """pair_id, stops, lines, trips: unchanged places, lines of one name and equal trips whose ids are others now."""
+    other = lambda a, b: (F.size(F.array_except(a, b)) > 0) | (F.size(F.array_except(b, a)) > 0)
+    stops = matches.where((F.col("status") == "unchanged") & other("old_members", "new_members")).select("pair_id", F.lit("stops").alias("what"))
+    lines = groups.where((F.col("relation") == "same") & other("old_routes", "new_routes")).select("pair_id", F.lit("lines").alias("what"))
+    trips = matched.where("kind = 'exact' and old_trip <> new_trip").select("pair_id", "old_trip").distinct().select("pair_id", F.lit("trips").alias("what"))
+    return stops.unionByName(lines).unionByName(trips).groupBy("pair_id").agg(*[F.count_if(F.col("what") == c).alias(c) for c in ("stops", "lines", "trips")])
+
+
 def reasons(classified: DataFrame, exceptions: DataFrame, summary: DataFrame) -> DataFrame:
     """pair_id, reason, passenger_facing of everything that changed. What the rules don't name counts as passenger-facing.
 

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a table in the folder that the cluster shares, or, if none is named, a local one."""
+    """df with its lineage cut by a table in the folder that the cluster shares; only a local session may do without one."""
     spark: SparkSession = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="feedloom-")
         spark.sparkContext.setCheckpointDir(base)
     path = f"{base.rstrip('/')}/feedloom/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"

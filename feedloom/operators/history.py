@@ -22,14 +22,15 @@ def route_lineage(occurrences: DataFrame, mappings: DataFrame, least: float = 0.
     if not 0 <= least <= 1:
         raise ValueError("least must be between 0 and 1")
     keys = ["org_id", "feed_id"]
-    node = lambda uid, route: F.concat_ws("", uid, route)
+    node = lambda uid, route: F.struct(F.col(uid).alias("uid"), (F.col(route) if isinstance(route, str) else route).alias("route"))
     side = lambda p: occurrences.where(F.col("side") == p).select(*keys, "pair_id", "route_id", F.col("uid").alias(p))
     same = side("old").join(side("new"), [*keys, "pair_id", "route_id"]).select(*keys, node("old", "route_id").alias("a"), node("new", "route_id").alias("b"))
     linked = mappings.where((F.col("relation") == "same") & (F.col("confidence") >= least) & (F.size("old") == 1) & (F.size("new") == 1)).select(*keys, node("old_uid", F.element_at("old", 1)).alias("a"), node("new_uid", F.element_at("new", 1)).alias("b"))
     roots = components(same.unionByName(linked), keys)
     every = occurrences.select(*keys, "uid", "route_id").distinct().withColumn("node", node("uid", "route_id"))
     seed = F.coalesce("root", "node")
-    named = F.concat(F.lit("route-"), F.substring(F.sha2(F.concat(F.concat_ws("/", *keys), F.lit("|"), F.regexp_replace(seed, "", "|")), 256), 1, 16))
+    told = F.concat(F.concat_ws("/", *keys), F.lit("|"), seed["uid"].cast("string"), F.lit("|"), seed["route"].cast("string"))
+    named = F.concat(F.lit("route-"), F.substring(F.sha2(told, 256), 1, 16))
     return every.join(roots, [*keys, "node"], "left").select(*keys, "uid", "route_id", named.alias("canonical_route_id"))
 
 

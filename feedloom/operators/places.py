@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import scalar as s
-from feedloom.functions.kernels import name_ratio, normalised_name
+from feedloom.functions.kernels import line_divergence, name_ratio, normalised_name, simplified_line
 from feedloom.operators.graph import components, cut, greedy
 from feedloom.plans.config import Matching
+from feedloom.sources.gtfs_zip import table
 
 #: Degrees of a grid cell, some 1.1 km; radii must stay below it.
 CELL = 0.01
@@ -16,8 +17,6 @@ CELL = 0.01
 
 def stops_of(rows: DataFrame) -> DataFrame:
     """Places' view of stops.txt: uid, stop_id, name, lat, lon, kind, parent. The last row of an id counts."""
-    from feedloom.sources.gtfs_zip import table
-
     raw = table(rows, "stops.txt", "stop_id", "stop_name", "stop_lat", "stop_lon", "location_type", "parent_station").where("stop_id <> ''")
     last = raw.groupBy("uid", "stop_id").agg(F.max_by(F.struct("stop_name", "stop_lat", "stop_lon", "location_type", "parent_station"), "row_no").alias("r"))
     kind = F.trim("r.location_type")
@@ -127,3 +126,49 @@ def statuses(found: DataFrame, old: DataFrame, new: DataFrame, cfg: Matching) ->
     status = F.when(F.col("new").isNull(), "removed").when(F.col("old").isNull(), "added").when(renamed & far, "renamed_moved").when(renamed, "renamed").when(far, "moved").otherwise("unchanged")
     both = F.col("old").isNotNull() & F.col("new").isNotNull()
     return full.select("pair_id", "old_id", "new_id", "method", "confidence", F.when(both, F.bround(moved)).cast("int").alias("distance_m"), status.alias("status"), F.col("old.members").alias("old_members"), F.col("new.members").alias("new_members"))
+
+
+def shapes(rows: DataFrame) -> DataFrame:
+    """uid, shape_id, points (lat, lon in the order of their sequence) of every shape with two usable points at least.
+
+    Points without a finite place or a whole sequence number don't count.
+    """
+    raw = table(rows, "shapes.txt", "shape_id", "shape_pt_sequence", "shape_pt_lat", "shape_pt_lon").where("shape_id <> ''")
+    number = raw.select("uid", "shape_id", F.trim("shape_pt_sequence").try_cast("int").alias("seq"), s.finite(F.col("shape_pt_lat")).alias("lat"), s.finite(F.col("shape_pt_lon")).alias("lon"), "row_no")
+    usable = number.where("seq is not null and lat is not null and lon is not null")
+    ordered = F.array_sort(F.collect_list(F.struct("seq", "row_no", "lat", "lon")))
+    points = F.transform(ordered, lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon")))
+    return usable.groupBy("uid", "shape_id").agg(points.alias("points")).where(F.size("points") > 1)
+
+
+def dominant_shapes(trips: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, shape_id, points: of the known shapes the one that most trips follow, the smaller id first.
+
+    trips: keys, shape_id; known: shape_id, points and those keys that tell shapes apart.
+    """
+    on = [c for c in known.columns if c in keys] + ["shape_id"]
+    used = trips.where("shape_id <> ''").groupBy(*keys, "shape_id").agg(F.count("*").alias("n")).join(known, on)
+    best = F.min_by(F.struct("shape_id", "points"), F.struct((-F.col("n")).alias("n"), "shape_id")).alias("b")
+    return used.groupBy(*keys).agg(best).select(*keys, "b.shape_id", "b.points")
+
+
+def line_geometry(trips: DataFrame, known: DataFrame, patterns: DataFrame, at: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
+    """keys, source, length_m, points: the dominant shape, simplified, or else the places of the dominant pattern.
+
+    patterns: keys, places; at: place_id, lat, lon. Lines of fewer than two points have no geometry.
+    """
+    shaped = dominant_shapes(trips, known, keys).select(*keys, F.lit("shape").alias("source"), "points")
+    stops = patterns.join(shaped.select(*keys), keys, "left_anti").select(*keys, F.posexplode("places").alias("i", "place_id")).join(at, "place_id")
+    by_stops = stops.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "lat", "lon"))), lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"))).alias("points"))
+    both = shaped.unionByName(by_stops.select(*keys, F.lit("stops").alias("source"), "points")).where(F.size("points") > 1)
+    thin = both.withColumn("points", simplified_line(F.col("points"), tolerance))
+    steps = F.zip_with(F.slice("points", 1, F.size("points") - 1), F.slice("points", 2, F.size("points") - 1), lambda a, b: s.distance_m(a["lat"], a["lon"], b["lat"], b["lon"]))
+    return thin.withColumn("length_m", F.round(F.aggregate(steps, F.lit(0.0), lambda n, x: n + x)).cast("long"))
+
+
+def geometry_block(old: DataFrame, new: DataFrame, keys: list[str], sample: float, diverge: float, cap: float) -> DataFrame:
+    """keys, identical, both sides' geometry and how far they run from each other (null if one side has none)."""
+    side = lambda df, p: df.select(*keys, *[F.col(c).alias(f"{p}_{c}") for c in ("source", "length_m", "points")])
+    both = side(old, "old").join(side(new, "new"), keys, "full_outer")
+    same = s.polyline(F.col("old_points")) == s.polyline(F.col("new_points"))
+    return both.withColumn("identical", F.coalesce(same, F.lit(False))).withColumn("change", line_divergence(F.col("old_points"), F.col("new_points"), sample, diverge, cap))

@@ -13,12 +13,12 @@ from feedloom.operators.graph import cut
 from feedloom.plans.config import FIXED_KEYS, KINDS, NEVER_BULK, OPTIONAL_KEYS, Config
 
 MAP = "map<string,string>"
-CHANGE = {"pair_id": "string", "file": "string", "kind": "string", "key": "array<string>", "sort_key": "array<string>", "column": "string", "old_value": "string", "new_value": "string", "old_row": MAP, "new_row": MAP, "rows": "bigint", "counts": "struct<added: bigint, removed: bigint, changed_rows: bigint, changed_cells: bigint>"}
+CHANGE = {"pair_id": "string", "file": "string", "kind": "string", "key": "array<string>", "sort_key": "array<string>", "column": "string", "old_value": "string", "new_value": "string", "old_row": MAP, "new_row": MAP, "rows": "bigint", "counts": "struct<added: bigint, removed: bigint, changed_rows: bigint, changed_cells: bigint>", "copies": "bigint"}
 
 
 def _shaped(df: DataFrame, **given: F.Column) -> DataFrame:
-    """df's pair_id and file with the given columns, null for the others."""
-    base = {"pair_id": F.col("pair_id"), "file": F.col("file")} | given
+    """df's pair_id and file with the given columns, null for the others. `copies` says how often a change stands."""
+    base = {"pair_id": F.col("pair_id"), "file": F.col("file"), "copies": F.lit(1)} | given
     return df.select(*[base.get(c, F.lit(None)).cast(t).alias(c) for c, t in CHANGE.items()])
 
 
@@ -78,9 +78,8 @@ def multiset_changes(chosen: DataFrame, rows: DataFrame) -> DataFrame:
     meta = chosen.where("mode = 'multiset'").select("pair_id", "file", F.array_sort(F.array_union("old.header", "new.header")).alias("columns"))
     values = rows.join(meta, ["pair_id", "file"]).withColumn("values", F.transform("columns", lambda c: F.coalesce(F.try_element_at("cells", c), F.lit(""))))
     surplus = values.groupBy("pair_id", "file", "columns", "values").agg(F.sum(F.when(F.col("side") == "new", 1).otherwise(-1)).alias("n")).where("n <> 0")
-    each = surplus.withColumn("_i", F.explode(F.sequence(F.lit(1), F.abs("n").cast("int"))))
     row = F.map_from_arrays("columns", "values")
-    return _shaped(each, kind=F.when(F.col("n") > 0, "row_added").otherwise("row_removed"), sort_key=F.col("values"), new_row=F.when(F.col("n") > 0, row), old_row=F.when(F.col("n") < 0, row))
+    return _shaped(surplus, copies=F.abs("n"), kind=F.when(F.col("n") > 0, "row_added").otherwise("row_removed"), sort_key=F.col("values"), new_row=F.when(F.col("n") > 0, row), old_row=F.when(F.col("n") < 0, row))
 
 
 def file_changes(chosen: DataFrame) -> DataFrame:
@@ -98,7 +97,7 @@ def bulk(row_changes: DataFrame, threshold: int) -> DataFrame:
     """Row changes with those of files beyond the threshold summed up in one change a file."""
     changed = F.col("kind") == "field_changed"
     sizes = row_changes.groupBy("pair_id", "file").agg(
-        F.count_if(F.col("kind") == "row_added").alias("added"), F.count_if(F.col("kind") == "row_removed").alias("removed"), F.count_distinct(F.when(changed, F.col("key"))).alias("changed_rows"), F.count_if(changed).alias("changed_cells")
+        *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("copies"))), F.lit(0)).alias(n) for k, n in (("row_added", "added"), ("row_removed", "removed"))], F.count_distinct(F.when(changed, F.col("key"))).alias("changed_rows"), F.count_if(changed).alias("changed_cells")
     )
     large = sizes.where(~F.col("file").isin(*NEVER_BULK) & (F.col("added") + F.col("removed") + F.col("changed_rows") > threshold))
     summed = _shaped(large, kind=F.lit("rows_bulk"), counts=F.struct("added", "removed", "changed_rows", "changed_cells"))
@@ -106,18 +105,23 @@ def bulk(row_changes: DataFrame, threshold: int) -> DataFrame:
 
 
 def numbered(changes: DataFrame) -> DataFrame:
-    """Changes with ids c0000001, c0000002, ... of each pair in order of file, kind, key and column.
+    """Changes with ids c0000001, c0000002, ... of each pair in order of file, kind, key and column, each copy its own row.
 
-    The number of a change is what the files before it hold plus its place in its own file, so that no window spans a
-    pair.
+    Rows go to ranges of that order, cut by sampled splitters, so a file of any size is numbered by many tasks. A range
+    numbers its rows from what the ranges before it hold of the same pair; copies are counted, and made at the end.
     """
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
-    order = [rank, F.coalesce("sort_key", F.array().cast("array<string>")), F.coalesce("column", F.lit("")), F.coalesce("old_value", F.lit("")), F.to_json("old_row"), F.to_json("new_row")]
-    within = F.row_number().over(W.partitionBy("pair_id", "file").orderBy(*order))
-    sizes = changes.groupBy("pair_id", "file").count()
-    before = sizes.withColumn("before", F.coalesce(F.sum("count").over(W.partitionBy("pair_id").orderBy("file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("pair_id", "file", "before")
-    n = (F.col("before") + F.col("_n")).cast("string")
-    return changes.withColumn("_n", within).join(before, ["pair_id", "file"]).withColumn("id", F.concat(F.lit("c"), F.when(F.length(n) < 7, F.lpad(n, 7, "0")).otherwise(n))).drop("_n", "before", "sort_key")
+    key = {"_r": rank, "_k": F.coalesce("sort_key", F.array().cast("array<string>")), "_c": F.coalesce("column", F.lit("")), "_o": F.coalesce("old_value", F.lit(""))}
+    order = ["pair_id", "file", *key]
+    ranged = cut(changes.select("*", *[c.alias(n) for n, c in key.items()]).repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+    sizes = ranged.groupBy("pair_id", "_p").agg(F.sum("copies").alias("_n"))
+    up_to = lambda *by: W.partitionBy(*by).rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select("pair_id", "_p", F.coalesce(F.sum("_n").over(up_to("pair_id").orderBy("_p")), F.lit(0)).alias("_before"))
+    inside = F.coalesce(F.sum("copies").over(up_to("pair_id", "_p").orderBy(*order[1:], F.to_json("old_row"), F.to_json("new_row"))), F.lit(0))
+    placed = ranged.withColumn("_inside", inside).join(before, ["pair_id", "_p"])
+    each = placed.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    number = F.format_string("c%07d", F.col("_before") + F.col("_inside") + F.col("_i"))
+    return each.withColumn("id", number).drop("_p", "_before", "_inside", "_i", "sort_key", "copies", *key)
 
 
 def raw_diff(pairs: DataFrame, files: DataFrame, rows: DataFrame, config: Config | None = None) -> tuple[DataFrame, DataFrame]:
@@ -127,7 +131,7 @@ def raw_diff(pairs: DataFrame, files: DataFrame, rows: DataFrame, config: Config
     uid, file, row_no, cells.
     """
     config = config or Config()
-    each = cut(sides(pairs, rows.select("uid", "file", "cells")))
+    each = sides(pairs, rows.select("uid", "file", "cells"))
     chosen = cut(key_choice(paired_files(pairs, files.select("uid", "file", "file_sha256", "status", "encoding", "header", "row_count", "ragged_rows")), each))
     row_changes = cut(keyed_changes(chosen, each).unionByName(multiset_changes(chosen, each)))
     return numbered(file_changes(chosen).unionByName(bulk(row_changes, config.bulk_threshold))), chosen
@@ -161,5 +165,5 @@ def positional_ids(df: DataFrame, order: list[str], name: str = "id") -> DataFra
     ranged = cut(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
     sizes = ranged.groupBy("_p").count()
     before = sizes.withColumn("_b", F.coalesce(F.sum("count").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_p", "_b")
-    n = (F.col("_b") + F.row_number().over(W.partitionBy("_p").orderBy(*order))).cast("string")
-    return ranged.join(F.broadcast(before), "_p").withColumn(name, F.concat(F.lit("c"), F.when(F.length(n) < 7, F.lpad(n, 7, "0")).otherwise(n))).drop("_p", "_b")
+    n = F.col("_b") + F.row_number().over(W.partitionBy("_p").orderBy(*order))
+    return ranged.join(F.broadcast(before), "_p").withColumn(name, F.format_string("c%07d", n)).drop("_p", "_b")

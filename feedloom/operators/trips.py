@@ -1,25 +1,22 @@
 """Trips of a day, their matching, pattern edits and timetables.
 
-A combo is (pair_id, group_key, direction, day_type); the kernels see one combo's trips at a time.
+A combo is (pair_id, group_key, direction, day_type). Trips pair in joins and rounds over tables; Python sees each pair of
+patterns once, never trips.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from statistics import median
-
-import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedloom.functions import scalar as s
-from feedloom.functions.kernels import containment, edits_of, merged_rows, pattern_edits, shifted, similarity
+from feedloom.functions.kernels import BRINGS, TAKES, merged_patterns, pattern_edits, sequence_containment, sequence_similarity
+from feedloom.operators.graph import cut, greedy
 from feedloom.plans.config import Matching
 from feedloom.sources.gtfs_zip import table
 
 LATE = 10**6
-PAIRS = "pair_id string, group_key string, direction string, day_type string, old_trip string, new_trip string, kind string"
-MOVES = "pair_id string, day_type string, old_trip string, new_trip string, kind string"
 
 
 def calls(rows: DataFrame, place_of_stop: DataFrame) -> DataFrame:
@@ -85,117 +82,139 @@ def on_typical_days(trips: DataFrame, comparison: DataFrame) -> DataFrame:
     return trips.join(runs, ["pair_id", "side", "service_id"])
 
 
-def _trip_list(part: pd.DataFrame) -> list[dict]:
-    order = part.assign(d=part["departure"].fillna(LATE)).sort_values(["line", "direction", "d", "trip_id"], kind="stable")
-    out = []
-    for r in order.itertuples():
-        times = [None if t is None or t != t else int(t) for t in r.times]
-        first: dict[str, int] = {}
-        for p, t in zip(r.places, times, strict=True):
-            if t is not None:
-                first.setdefault(p, t)
-        out.append({"id": r.trip_id, "places": tuple(r.places), "times": tuple(times), "first": first, "dep": next((t for t in times if t is not None), None)})
-    return out
-
-
-def _delays(a: dict, b: dict) -> list[int]:
-    return [abs(t - b["first"][p]) for p, t in zip(a["places"], a["times"], strict=True) if t is not None and p in b["first"]]
-
-
-def _kind(a: dict, b: dict) -> str:
-    rerouted = a["places"] != b["places"]
-    retimed = any(_delays(a, b)) if rerouted else a["times"] != b["times"]
-    return "_".join(["retimed"] * retimed + ["rerouted"] * rerouted) or "exact"
-
-
-def _take(candidates: list[tuple], taken: dict[int, int]) -> None:
-    """Candidates end with the indexes of both trips; the least first, each trip once."""
-    used = set(taken.values())
-    for *_, i, j in sorted(candidates):
-        if i not in taken and j not in used:
-            taken[i] = j
-            used.add(j)
-
-
-def _cost(a: dict, b: dict, share: float, cap: int) -> tuple | None:
-    delays = _delays(a, b)
-    if not delays or (shift := median(delays)) > cap:
-        return None
-    return round(shift / cap + (1.0 - share), 6), a["dep"] or 0, b["dep"] or 0, a["id"], b["id"]
-
-
-def paired(old: list[dict], new: list[dict], cfg: Matching) -> list[tuple[int | None, int | None, str]]:
-    """(old, new, kind) of one combo: equal trips first, then by cost of shift and different places."""
-    by_run: dict[tuple, list[int]] = defaultdict(list)
-    for j, b in enumerate(new):
-        by_run[b["places"], b["times"]].append(j)
-    taken: dict[int, int] = {}
-    _take([(a["id"] != new[j]["id"], a["dep"] or 0, i, j) for i, a in enumerate(old) for j in by_run[a["places"], a["times"]]], taken)
-    exact, used = set(taken), set(taken.values())
-    known: dict[tuple, float] = {}
-    costs = []
-    for i, a in enumerate(old):
-        for j, b in enumerate(new):
-            if i in exact or j in used:
-                continue
-            key = (a["places"], b["places"])
-            if key not in known:
-                known[key] = similarity(*key)
-            if known[key] >= cfg.pattern_min_similarity and (cost := _cost(a, b, known[key], cfg.trip_max_shift_min)) and cost[0] <= cfg.trip_max_cost:
-                costs.append((*cost, i, j))
-    _take(costs, taken)
-    return _with_rest(old, new, taken, exact)
-
-
-def _with_rest(old: list[dict], new: list[dict], taken: dict[int, int], exact: set[int]) -> list[tuple[int | None, int | None, str]]:
-    out = [(i, taken.get(i), "removed" if i not in taken else "exact" if i in exact else _kind(old[i], new[taken[i]])) for i in range(len(old))]
-    used = set(taken.values())
-    return out + [(None, j, "added") for j in range(len(new)) if j not in used]
-
-
-def moved(old: list[dict], new: list[dict], cfg: Matching) -> list[tuple[int | None, int | None, str]]:
-    """(old, new, kind) across lines: one end shared, the shorter trip inside the longer one, about the same time."""
-    at_start, at_end = defaultdict(set), defaultdict(set)
-    for j, b in enumerate(new):
-        at_start[b["places"][0]].add(j)
-        at_end[b["places"][-1]].add(j)
-    costs = []
-    for i, a in enumerate(old):
-        for j in sorted(at_start[a["places"][0]] | at_end[a["places"][-1]]):
-            b = new[j]
-            share = containment(a["places"], b["places"])
-            if share >= cfg.cross_line_min_containment and (cost := _cost(a, b, share, cfg.cross_line_max_shift_min)):
-                costs.append((*cost, i, j))
-    taken: dict[int, int] = {}
-    _take(costs, taken)
-    return _with_rest(old, new, taken, set())
+COMBO = ["pair_id", "group_key", "direction", "day_type"]
+
+
+def _place_in_line() -> F.Column:
+    """What puts the trips of a line in order."""
+    return F.struct("line", "direction", F.coalesce("departure", F.lit(LATE)).alias("d"), "trip_id")
+
+
+def _sided(day_trips: DataFrame, keys: list[str], side: str) -> DataFrame:
+    run = {"trip": F.col("trip_id"), "places": F.col("places"), "times": F.col("times"), "dep": F.coalesce("departure", F.lit(0)), "nth": _place_in_line()}
+    return day_trips.where(F.col("side") == side).select(*keys, *[c.alias(f"{side}_{n}") for n, c in run.items()])
+
+
+def _without(rows: DataFrame, taken: DataFrame, keys: list[str], side: str) -> DataFrame:
+    return rows.join(taken.select(*keys, f"{side}_trip"), [*keys, f"{side}_trip"], "left_anti")
+
+
+def _visits(places: str, times: str) -> F.Column:
+    """(place, time) of the timed calls."""
+    return F.filter(F.transform(F.arrays_zip(places, times), lambda x: F.struct(x[places].alias("p"), x[times].alias("t"))), lambda x: x["t"].isNotNull())
+
+
+def _first_visits(places: str, times: str) -> F.Column:
+    visits = _visits(places, times)
+    names = F.array_distinct(F.transform(visits, lambda x: x["p"]))
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(F.filter(visits, lambda x: x["p"] == n), 1)["t"]))
+
+
+def _delays() -> F.Column:
+    """Minutes between each timed call of the old trip and the new trip's first visit of its place."""
+    both = F.transform(_visits("old_places", "old_times"), lambda x: F.abs(x["t"] - F.try_element_at(_first_visits("new_places", "new_times"), x["p"])))
+    return F.filter(both, lambda d: d.isNotNull())
+
+
+def _kind() -> F.Column:
+    """What became of a trip, by its places and times."""
+    rerouted = F.col("old_places") != F.col("new_places")
+    retimed = F.when(rerouted, F.exists("delays", lambda d: d > 0)).otherwise(F.col("old_times") != F.col("new_times"))
+    words = F.concat_ws("_", F.when(retimed, "retimed"), F.when(rerouted, "rerouted"))
+    return F.when(words == "", "exact").otherwise(words)
+
+
+def _near(old: DataFrame, new: DataFrame, keys: list[str], within: int) -> DataFrame:
+    """Pairs of trips whose median delay is at most `within` minutes, with delays and shift (that median).
+
+    At least one shared place is then called at that closely, so trips meet by place and by spans of `within` minutes: a
+    trip costs the trips around it, not all of its line.
+    """
+    span = lambda c: F.floor(F.col(c) / within)
+    a = old.select(*keys, "old_trip", F.explode(F.array_distinct(_visits("old_places", "old_times"))).alias("v")).select(*keys, "old_trip", F.col("v.p").alias("p"), F.col("v.t").alias("a")).withColumn("span", span("a"))
+    b = new.select(*keys, "new_trip", F.explode(_first_visits("new_places", "new_times")).alias("p", "b")).withColumn("span", F.explode(F.array(span("b") - 1, span("b"), span("b") + 1)))
+    met = a.join(b, [*keys, "p", "span"]).where(F.abs(F.col("a") - F.col("b")) <= within).select(*keys, "old_trip", "new_trip").distinct()
+    both = met.join(old, [*keys, "old_trip"]).join(new, [*keys, "new_trip"]).withColumn("delays", _delays())
+    ordered, n = F.array_sort("delays"), F.size("delays")
+    middle = (F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))) / 2.0
+    return both.withColumn("shift", middle).where(F.col("shift") <= within)
+
+
+def _assigned(pairs: DataFrame, keys: list[str], measure, least: float, within: int, most: float | None) -> DataFrame:
+    """The pairs that one-to-one assignment takes by cost; `measure` compares each pair of patterns once."""
+    patterns = pairs.select("old_places", "new_places").distinct().withColumn("share", measure("old_places", "new_places")).where(F.col("share") >= least)
+    cost = F.round(F.col("shift") / within + (1 - F.col("share")), 6)
+    costed = pairs.join(patterns, ["old_places", "new_places"]).withColumn("cost", cost)
+    costed = costed if most is None else costed.where(F.col("cost") <= most)
+    found = costed.select(*keys, "old_trip", "new_trip", "cost", "old_dep", "new_dep", "old_nth", "new_nth", _kind().alias("kind"))
+    order = ["cost", "old_dep", "new_dep", "old_trip", "new_trip", "old_nth", "new_nth"]
+    return greedy(found, keys, ["old_trip"], ["new_trip"], order).select(*keys, "old_trip", "new_trip", "kind")
+
+
+def _equal_runs(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Trips with equal places and times: those that kept their id first, then the others in order, place by place."""
+    run = [*keys, "places", "times"]
+    a, b = (x.withColumnRenamed(f"{p}_places", "places").withColumnRenamed(f"{p}_times", "times") for x, p in ((old, "old"), (new, "new")))
+    same = a.join(b.withColumn("old_trip", F.col("new_trip")), [*run, "old_trip"]).select(*keys, "old_trip", "new_trip")
+    nth = lambda x, p: _without(x, same, keys, p).withColumn("n", F.row_number().over(W.partitionBy(*run).orderBy(f"{p}_nth")))
+    others = nth(a, "old").join(nth(b, "new"), [*run, "n"]).select(*keys, "old_trip", "new_trip")
+    return same.unionByName(others).withColumn("kind", F.lit("exact"))
 
 
 def match_trips(day_trips: DataFrame, cfg: Matching | None = None) -> DataFrame:
-    """pair_id, group_key, direction, day_type, old_trip, new_trip, kind of every trip on a typical day."""
+    """pair_id, group_key, direction, day_type, old_trip, new_trip, kind of every trip on a typical day.
+
+    Equal trips pair first; the others pair by the cost of their shift and of the places they don't share, least first.
+    """
     cfg = cfg or Matching()
-    keys = ["pair_id", "group_key", "direction", "day_type"]
+    old, new = (_sided(day_trips, COMBO, p) for p in ("old", "new"))
+    equal = cut(_equal_runs(old, new, COMBO))
+    left_old, left_new = cut(_without(old, equal, COMBO, "old")), cut(_without(new, equal, COMBO, "new"))
+    near = _near(left_old, left_new, COMBO, cfg.trip_max_shift_min)
+    costed = _assigned(near, COMBO, sequence_similarity, cfg.pattern_min_similarity, cfg.trip_max_shift_min, cfg.trip_max_cost)
+    none, names = F.lit(None).cast("string"), [*COMBO, "old_trip", "new_trip", "kind"]
+    gone = _without(left_old, costed, COMBO, "old").select(*COMBO, "old_trip", none.alias("new_trip"), F.lit("removed").alias("kind"))
+    come = _without(left_new, costed, COMBO, "new").select(*COMBO, none.alias("old_trip"), "new_trip", F.lit("added").alias("kind"))
+    return equal.unionByName(costed).unionByName(gone).unionByName(come).select(*names)
 
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        old, new = (_trip_list(part[part["side"] == x]) for x in ("old", "new"))
-        rows = [(*key, None if i is None else old[i]["id"], None if j is None else new[j]["id"], kind) for i, j, kind in paired(old, new, cfg)]
-        return pd.DataFrame(rows, columns=[*keys, "old_trip", "new_trip", "kind"])
 
-    return day_trips.groupBy(*keys).applyInPandas(run, PAIRS)
+def match_moved_trips(day_trips: DataFrame, matched: DataFrame, cfg: Matching | None = None) -> DataFrame:
+    """pair_id, day_type, old_trip, new_trip, kind of trips left over in their lines that run on in another.
 
+    One end is shared, the shorter trip's places stand in the longer one's and both run at about the same time.
+    """
+    cfg, keys = cfg or Matching(), ["pair_id", "day_type"]
+    left = matched.where("kind in ('removed', 'added')").select(*keys, F.when(F.col("kind") == "removed", "old").otherwise("new").alias("side"), F.coalesce("old_trip", "new_trip").alias("trip_id"))
+    rest = cut(day_trips.join(left, [*keys, "side", "trip_id"]))
+    near = _near(_sided(rest, keys, "old"), _sided(rest, keys, "new"), keys, cfg.cross_line_max_shift_min)
+    end = lambda i: F.element_at("old_places", i) == F.element_at("new_places", i)
+    return _assigned(near.where(end(1) | end(-1)), keys, sequence_containment, cfg.cross_line_min_containment, cfg.cross_line_max_shift_min, None)
 
-def match_moved_trips(day_trips: DataFrame, matched: DataFrame, cfg: Matching | None = None) -> DataFrame:
-    """pair_id, day_type, old_trip, new_trip, kind of trips left over in their lines that run on in another."""
-    cfg = cfg or Matching()
-    left = matched.where("kind in ('removed', 'added')").select("pair_id", "day_type", F.when(F.col("kind") == "removed", "old").otherwise("new").alias("side"), F.coalesce("old_trip", "new_trip").alias("trip_id"))
-    rest = day_trips.join(left, ["pair_id", "day_type", "side", "trip_id"])
 
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        old, new = (_trip_list(part[part["side"] == x]) for x in ("old", "new"))
-        rows = [(*key, old[i]["id"], new[j]["id"], kind) for i, j, kind in moved(old, new, cfg) if i is not None and j is not None]
-        return pd.DataFrame(rows, columns=["pair_id", "day_type", "old_trip", "new_trip", "kind"])
+def timetable_order(matched: DataFrame, day_trips: DataFrame) -> DataFrame:
+    """matched with `place`, the order of a timetable that shows both sides: by the earlier departure of either."""
+    at = lambda p: _sided(day_trips.withColumn("departure", F.coalesce("departure", F.lit(LATE))), COMBO, p).select(*COMBO, f"{p}_trip", f"{p}_dep", f"{p}_nth")
+    both = matched.join(at("old"), [*COMBO, "old_trip"], "left").join(at("new"), [*COMBO, "new_trip"], "left")
+    order = W.partitionBy(*COMBO).orderBy(F.coalesce(F.least("old_dep", "new_dep"), F.lit(LATE)), F.asc_nulls_first("old_nth"), F.asc_nulls_first("new_nth"))
+    return both.withColumn("place", F.row_number().over(order)).select(*matched.columns, "place")
+
 
-    return rest.groupBy("pair_id", "day_type").applyInPandas(run, MOVES)
+def timetables(day_trips: DataFrame) -> DataFrame:
+    """One timetable for each side of a combo: rows of places, and each trip's times by row.
+
+    Patterns go into the rows one after the other, the most frequent first, then the longest. Only patterns reach Python.
+    """
+    keys = [*COMBO, "side"]
+    counts = day_trips.groupBy(*keys, "places").agg(F.count("*").alias("n"))
+    ranked = counts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), (-F.size("places")).alias("size"), "places"))).alias("x"))
+    patterns = ranked.select(*keys, F.transform("x", lambda x: x["places"]).alias("patterns"))
+    merged = patterns.withColumn("m", merged_patterns("patterns")).select(*keys, F.col("m.places").alias("rows"), F.explode(F.arrays_zip("patterns", "m.stands")).alias("z"))
+    merged = merged.select(*keys, "rows", F.col("z.patterns").alias("places"), F.col("z.stands").alias("stands"))
+    shown = F.transform("times", lambda t: F.when(t.between(0, 2880), t))
+    times = F.transform(F.sequence(F.lit(0), F.size("rows") - 1), lambda r: F.when(F.array_contains("stands", r), F.element_at(shown, F.array_position("stands", r).cast("int"))))
+    each = day_trips.join(merged, [*keys, "places"]).select(*keys, "rows", _place_in_line().alias("nth"), "trip_id", times.alias("times"))
+    inner = F.transform(F.array_sort(F.collect_list(F.struct("nth", "trip_id", "times"))), lambda x: F.struct(x["trip_id"].alias("trip_id"), x["times"].alias("times")))
+    return each.groupBy(*keys, F.col("rows").alias("places")).agg(inner.alias("trips"))
 
 
 def dominant_patterns(trips: DataFrame, keys: list[str]) -> DataFrame:
@@ -217,33 +236,24 @@ def trip_edits(matched: DataFrame, day_trips: DataFrame) -> DataFrame:
 
 
 def shift_edits(edits: DataFrame) -> DataFrame:
-    """edits with places that some trips of a line direction gained and as many others lost as one shifted edit."""
-    keys = ["pair_id", "group_key", "direction"]
-
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        seen = {(r.kind, tuple(r.places)): int(r.trips) for r in part.itertuples()}
-        return pd.DataFrame([(*key, kind, list(places), n) for (kind, places), n in sorted(shifted(seen).items())], columns=[*keys, "kind", "places", "trips"])
+    """edits with places that some trips of a line direction gained and as many others lost as one shifted edit.
 
-    return edits.groupBy(*keys).applyInPandas(run, "pair_id string, group_key string, direction string, kind string, places array<string>, trips long")
-
-
-def timetables(day_trips: DataFrame) -> DataFrame:
-    """One timetable for each side of a combo: rows of places, and each trip's times by row."""
-    keys = ["pair_id", "group_key", "direction", "day_type", "side"]
-
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        trips = _trip_list(part)
-        counts = Counter(t["places"] for t in trips)
-        rows, at = merged_rows(sorted(counts, key=lambda p: (-counts[p], -len(p), p)))
-        table_ = []
-        for t in trips:
-            times: list[int | None] = [None] * len(rows)
-            for i, value in zip(at[t["places"]], t["times"], strict=True):
-                times[i] = value if value is not None and 0 <= value <= 2880 else None
-            table_.append({"trip_id": t["id"], "times": times})
-        return pd.DataFrame([(*key, rows, table_)], columns=[*keys, "places", "trips"])
-
-    return day_trips.groupBy(*keys).applyInPandas(run, ", ".join(f"{k} string" for k in keys) + ", places array<string>, trips array<struct<trip_id: string, times: array<int>>>")
+    Gains and losses of one set of places, in opposite kinds, cancel: each side gives up as many trips as the other has, in
+    order of kind and places, and the places of the gains name the shift.
+    """
+    keys = ["pair_id", "group_key", "direction"]
+    opposite = F.create_map(*[F.lit(x) for take, bring in zip(TAKES, BRINGS, strict=True) for x in (bring, take)])
+    gain = F.col("kind").isin(*BRINGS)
+    facing = edits.withColumn("gain", gain).withColumn("base", F.when(gain | F.col("kind").isin(*TAKES), F.coalesce(F.try_element_at(opposite, F.col("kind")), F.col("kind"))))
+    facing = facing.withColumn("same", F.array_sort(F.array_distinct("places")))
+    group = [*keys, "base", "same"]
+    other = F.sum(F.when(F.col("base").isNotNull(), F.col("trips"))).over(W.partitionBy(*group)) - F.sum("trips").over(W.partitionBy(*group, "gain"))
+    before = F.coalesce(F.sum("trips").over(W.partitionBy(*group, "gain").orderBy("kind", "places").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    gone = F.when(F.col("base").isNull(), 0).otherwise(F.least(F.col("trips"), F.greatest(F.lit(0), F.coalesce(other, F.lit(0)) - before)))
+    told = facing.withColumn("gone", gone)
+    left = told.where("trips > gone").select(*keys, "kind", "places", (F.col("trips") - F.col("gone")).alias("trips"))
+    moved = told.where("gain and gone > 0").groupBy(*keys, "places").agg(F.sum("gone").alias("trips"))
+    return left.unionByName(moved.select(*keys, F.lit("shifted").alias("kind"), "places", "trips"))
 
 
 def hour_bands(day_trips: DataFrame) -> DataFrame:
@@ -287,7 +297,7 @@ def date_residuals(pairs: DataFrame, calendar: DataFrame, comparison: DataFrame,
     sets = shared.select("pair_id", "old_services", "new_services").distinct()
     typical = comparison.where("old_date is not null and new_date is not null").select("pair_id", "day_type", F.col("old_services").alias("to"), F.col("new_services").alias("tn"))
     wanted = sets.select("pair_id", "old_services", "new_services").unionByName(typical.select("pair_id", F.col("to").alias("old_services"), F.col("tn").alias("new_services"))).distinct()
-    ids = wanted.withColumn("set_id", F.xxhash64("pair_id", F.concat_ws("", "old_services"), F.concat_ws("", "new_services")))
+    ids = wanted.withColumn("set_id", F.struct(F.col("old_services").alias("o"), F.col("new_services").alias("n")))
     each = ids.select("pair_id", "set_id", F.explode(F.concat(F.transform("old_services", lambda x: F.struct(F.lit("old").alias("side"), x.alias("service_id"))), F.transform("new_services", lambda x: F.struct(F.lit("new").alias("side"), x.alias("service_id"))))).alias("x")).select("pair_id", "set_id", "x.*")
     change = each.join(trips.select("pair_id", "side", "service_id", "group_key", "places", "times"), ["pair_id", "side", "service_id"]).groupBy("pair_id", "set_id", "group_key", "places", "times").agg(
         F.sum(F.when(F.col("side") == "new", 1).otherwise(-1)).alias("n"), F.count_if(F.col("side") == "old").alias("o"), F.count_if(F.col("side") == "new").alias("w")
@@ -297,7 +307,7 @@ def date_residuals(pairs: DataFrame, calendar: DataFrame, comparison: DataFrame,
     best = fits.groupBy("pair_id", "old_services", "new_services").agg(F.max_by(F.struct("to", "tn"), F.struct(F.size("to") + F.size("tn"), "to", "tn")).alias("fit"))
     own = comparison.select("pair_id", F.explode(F.split("day_type", ",")).alias("new_category"), F.col("day_type"), F.struct(F.col("old_services").alias("to"), F.col("new_services").alias("tn")).alias("own"), (F.col("old_date").isNotNull() & F.col("new_date").isNotNull()).alias("has"))
     dated = shared.join(best, ["pair_id", "old_services", "new_services"], "left").join(own, ["pair_id", "new_category"], "left").withColumn("base", F.coalesce("fit", F.when(F.col("has"), F.col("own"))))
-    sid = lambda a, b: F.xxhash64("pair_id", F.concat_ws("", a), F.concat_ws("", b))
+    sid = lambda a, b: F.struct(F.col(a).alias("o"), F.col(b).alias("n"))
     dated = dated.withColumn("set_id", sid("old_services", "new_services")).withColumn("base_id", sid("base.to", "base.tn")).withColumn("base_id", F.when(F.col("base").isNotNull(), F.col("base_id")))
     combos = dated.select("pair_id", "set_id", "base_id").distinct()
     item = ["group_key", "places", "times"]
@@ -310,6 +320,36 @@ def date_residuals(pairs: DataFrame, calendar: DataFrame, comparison: DataFrame,
     return hit.groupBy("pair_id", "residual").agg(F.array_sort(F.collect_list("date")).alias("dates"), F.array_sort(F.collect_set("day_type")).alias("day_types"), F.min_by("before", "date").alias("before"), F.min_by("after", "date").alias("after"), F.min_by("trips", "date").alias("trips"))
 
 
-def single_edits(old: list[str], new: list[str]) -> list[tuple[str, list[str]]]:
-    """The edits between two patterns, outside Spark."""
-    return edits_of(old, new)
+def changed_runs(residuals: DataFrame, within: int) -> DataFrame:
+    """pair_id, residual, group_key, kind (changed, added, removed), old_time, new_time of each trip by which dates differ.
+
+    residuals: pair_id, residual, trips (group_key, places, times, n). Trips that came and went in one line, with departures
+    at most `within` minutes apart, pair nearest first as changed; the others are added or removed.
+    """
+    each = residuals.select("pair_id", "residual", F.posexplode("trips").alias("i", "x")).select("pair_id", "residual", "x.group_key", s.first_departure(F.col("x.times")).alias("dep"), F.col("x.n").alias("n"), "i")
+    single = each.withColumn("k", F.explode(F.sequence(F.lit(1), F.abs("n").cast("int")))).withColumn("id", F.struct("i", "k"))
+    keys = ["pair_id", "residual", "group_key"]
+    gone = single.where("n < 0").select(*keys, F.col("id").alias("old_id"), F.col("dep").alias("old_time"))
+    came = single.where("n > 0").select(*keys, F.col("id").alias("new_id"), F.col("dep").alias("new_time"))
+    slot = lambda c: F.floor(F.col(c) / within)
+    spread = came.withColumn("slot", F.explode(F.array(slot("new_time") - 1, slot("new_time"), slot("new_time") + 1)))
+    near = gone.withColumn("slot", slot("old_time")).join(spread, [*keys, "slot"]).withColumn("apart", F.abs(F.col("old_time") - F.col("new_time"))).where(F.col("apart") <= within).drop("slot")
+    paired = cut(greedy(near, keys, ["old_id"], ["new_id"], ["apart", "old_time", "new_time", "old_id", "new_id"]))
+    none = F.lit(None).cast("int")
+    left = lambda x, c: x.join(paired.select(*keys, c), [*keys, c], "left_anti")
+    out = paired.select(*keys, F.lit("changed").alias("kind"), F.col("old_time").cast("int").alias("old_time"), F.col("new_time").cast("int").alias("new_time"))
+    out = out.unionByName(left(gone, "old_id").select(*keys, F.lit("removed").alias("kind"), F.col("old_time").cast("int").alias("old_time"), none.alias("new_time")))
+    return out.unionByName(left(came, "new_id").select(*keys, F.lit("added").alias("kind"), none.alias("old_time"), F.col("new_time").cast("int").alias("new_time")))
+
+
+def date_change_list(runs: DataFrame, groups_most: int, trips_most: int) -> DataFrame:
+    """The first trips of each kind of the first date changes of a pair, by line and time, with the full counts.
+
+    runs: as of changed_runs(). `groups` counts all changes of the pair and `trips` all trips of the kind.
+    """
+    kind = ["pair_id", "residual", "kind"]
+    at = F.coalesce("new_time", "old_time")
+    listed = runs.withColumn("trips", F.count("*").over(W.partitionBy(*kind))).withColumn("place", F.row_number().over(W.partitionBy(*kind).orderBy("group_key", at, "old_time")))
+    groups = runs.select("pair_id", "residual").distinct()
+    ranked = groups.withColumn("nth", F.row_number().over(W.partitionBy("pair_id").orderBy("residual"))).withColumn("groups", F.count("*").over(W.partitionBy("pair_id")))
+    return listed.where(F.col("place") <= trips_most).join(ranked.where(F.col("nth") <= groups_most), ["pair_id", "residual"]).drop("nth")

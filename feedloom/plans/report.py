@@ -31,6 +31,10 @@ class PairReport:
     classes: DataFrame
     impacts: DataFrame
     day_trips: DataFrame
+    timetables: DataFrame
+    columns: DataFrame
+    mappings: dict[str, DataFrame]
+    renumbered: DataFrame
 
 
 def _both(matches: DataFrame, side: str) -> DataFrame:
@@ -75,7 +79,14 @@ def build(pairs: DataFrame, files: DataFrame, rows: DataFrame, holidays: DataFra
     served = day_trips.select("pair_id", F.explode("places").alias("place")).select("pair_id", F.regexp_replace("place", "^old:", "").alias("place"))
     totals = day_trips.groupBy("pair_id", F.col("group_key").alias("line"), "direction").agg(F.greatest(F.count_if(F.col("side") == "old"), F.count_if(F.col("side") == "new")).alias("trips"))
     classed = cut(events.event_classes(found, served, totals, accounting.fare_summary(classified), why))
-    return PairReport(changes, paired, comparison, matches, groups, matched, moves, edits, residuals, classified, classed, why, classes, events.pair_impacts(classed, classes), day_trips)
+    return PairReport(changes, paired, comparison, matches, groups, matched, moves, edits, residuals, classified, classed, why, classes, events.pair_impacts(classed, classes), day_trips, *_tables(pairs, matches, groups, all_lines, matched, day_trips))
+
+
+def _tables(pairs: DataFrame, matches: DataFrame, groups: DataFrame, all_lines: DataFrame, matched: DataFrame, day_trips: DataFrame) -> tuple:
+    """Timetables with the order of their columns, ids that changed, and how many of each kind."""
+    of_side = lambda p: pairs.select("pair_id", F.col(f"{p}_uid").alias("uid")).join(all_lines, "uid").select("pair_id", F.lit(p).alias("side"), "line", "route_ids")
+    routes = events.group_routes(groups, of_side("old").unionByName(of_side("new")))
+    return trips.timetables(day_trips), trips.timetable_order(matched, day_trips), events.mappings(matches, routes, matched), events.renumbering(matches, routes, matched)
 
 
 def _evidence_days(pairs: DataFrame, days: DataFrame, of_pair: DataFrame) -> DataFrame:

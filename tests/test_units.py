@@ -43,12 +43,12 @@ def test_pattern_edits():
         assert got == want or (a, b) == ("ABCD", "ACBD") and [k for k, _ in got] == ["reordered"], (a, b, got)
 
 
-def test_shifted_and_rows():
-    seen = {("inserted", ("X",)): 3, ("removed", ("X",)): 2}
-    assert kernels.shifted(seen) == {("inserted", ("X",)): 1, ("shifted", ("X",)): 2}
-    rows, at = kernels.merged_rows([tuple("ABCA"), tuple("ABDA")])
-    for pattern, places_ in at.items():
-        assert tuple(rows[i] for i in places_) == pattern and places_ == sorted(places_)
+def test_merged_rows():
+    patterns = [tuple("ABCA"), tuple("ABDA"), tuple("XAB")]
+    rows, at = kernels.merged_rows(patterns)
+    for pattern, stands in zip(patterns, at, strict=True):
+        assert tuple(rows[i] for i in stands) == pattern and stands == sorted(stands)
+    assert kernels.merged_rows([]) == ([], []) and len(rows) == 6
 
 
 def test_names():
