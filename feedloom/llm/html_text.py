@@ -261,22 +261,25 @@ def main_texts(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", F.xxhash64(page).alias("pk"), host.alias("host"), page.alias("html"))
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A page that the array has nothing to decide on has its text at once; only its tokens of chrome are still wanted."""
         part, held = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32, 0
         for batch in batches:
-            blocks, parts, open_ = [], [], []
+            blocks, parts, open_, texts = [], [], [], []
             for text in batch.column(4):
                 found = blocks_of(text.as_py())
-                blocks.append(pack(found))
-                open_.append(judged(found))
+                wanted = judged(found)
+                texts.append(None if wanted else main_text(found, lambda _: False))
+                blocks.append(pack(found if wanted else [b for b in found if b.zone != CONTENT]))
+                open_.append(wanted)
                 held += len(blocks[-1])
                 parts.append(part)
                 if held > PART:
                     part, held = part + 1, 0
-            made = [pa.array(blocks, pa.binary()), pa.array(parts, pa.int64()), pa.array(open_)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *made], [*batch.schema.names[:4], "blocks", "part", "judged"])
+            made = [pa.array(blocks, pa.binary()), pa.array(texts, pa.string()), pa.array(parts, pa.int64()), pa.array(open_)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *made], [*batch.schema.names[:4], "blocks", "text", "part", "judged"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    names = f"page_id {kind}, url string, pk long, host string, blocks binary, part long, judged boolean"
+    names = f"page_id {kind}, url string, pk long, host string, blocks binary, text string, part long, judged boolean"
     parsed = written(rows.mapInArrow(scan, names), "page-blocks")
 
     def begin(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,5 +322,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
         texts = [main_text(unpack(packed), lambda x, h=name: (h, x) in marked) for packed, name in zip(left["blocks"].to_pylist(), left["host"].to_pylist(), strict=True)]
         return pa.table([left["page_id"], left["url"], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    kept = parsed.groupBy("part").cogroup(found.groupBy("at")).applyInArrow(keep, f"page_id {kind}, url string, text string")
-    return kept.withColumn("n_chars", F.char_length("text").cast("long"))
+    open_pages = parsed.where("judged").select("page_id", "url", "host", "blocks", "part")
+    kept = open_pages.groupBy("part").cogroup(found.groupBy("at")).applyInArrow(keep, f"page_id {kind}, url string, text string")
+    whole = parsed.where("not judged").select("page_id", "url", "text").unionByName(kept)
+    return whole.withColumn("n_chars", F.char_length("text").cast("long"))
