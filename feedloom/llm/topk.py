@@ -51,12 +51,13 @@ def search(queries: np.ndarray, ids: np.ndarray, candidates: np.ndarray, names:
     qs, cs = statistics(queries), statistics(candidates)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     exact = 0
+    longest = float(np.sqrt((candidates**2).sum(axis=1).max())) if len(candidates) else 0.0
     for i in range(len(queries)):
         own = names != ids[i]
         left = np.flatnonzero(own)
         if not len(left):
             continue
-        slack = 1e-9 * (1 + float(np.linalg.norm(queries[i])) * float(np.sqrt((candidates**2).sum(axis=1).max())))
+        slack = 1e-9 * (1 + float(np.linalg.norm(queries[i])) * longest)
         bounds = None
         floor = -np.inf
         for (qm, qd, _), (cm, cd, _) in zip(qs, cs, strict=True):
