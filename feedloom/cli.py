@@ -1,4 +1,4 @@
-"""Commands: rawdiff and report for two archives, reports for pairs in a folder, pending work, and one registered query."""
+"""Commands: rawdiff and report for two archives, and one registered query."""
 
 from __future__ import annotations
 
@@ -52,7 +52,7 @@ def run(arguments: list[str] | None = None, spark: SparkSession | None = None) -
         return
     days = spark.read.text(a.holidays) if a.holidays else spark.createDataFrame([], "value string")
     found = report.build(pairs, files, rows, days.select(F.to_date("value").alias("date")), config)
-    for name in ("changes", "comparison", "places", "lines", "trips", "moves", "edits", "residuals", "classified", "events", "reasons", "classes", "impacts"):
+    for name in report.TABLES:
         getattr(found, name).write.mode("overwrite").parquet(f"{a.out}/{name}")
 
 

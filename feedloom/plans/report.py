@@ -11,6 +11,9 @@ from feedloom.operators import accounting, calendar, events, lines, places, rawd
 from feedloom.operators.graph import cut
 from feedloom.plans.config import Config
 
+#: Tables that a run writes for each pair.
+TABLES = ("changes", "comparison", "places", "lines", "trips", "moves", "edits", "residuals", "classified", "events", "reasons", "classes", "impacts", "timetables", "columns", "renumbered")
+
 
 @dataclass
 class PairReport:

@@ -12,6 +12,8 @@ from pyspark.sql.utils import AnalysisException
 
 from feedloom.operators.graph import cut
 from feedloom.operators.publications import FEED
+from feedloom.plans import report
+from feedloom.plans.config import Config
 from feedloom.sources.sinks import changed_rows
 
 PAIR = ["pair_id", *FEED, "old_uid", "new_uid"]
@@ -19,6 +21,16 @@ RESULT = "action string, code string, detail string, run_id string, batch string
 DETAIL = 2000
 
 
+def reporter(files: DataFrame, rows: DataFrame, holidays: DataFrame, config: Config | None = None) -> Callable[[DataFrame], dict[str, DataFrame]]:
+    """What run_reports() builds with: the whole comparison of the pairs it is given."""
+
+    def build(pairs: DataFrame) -> dict[str, DataFrame]:
+        found = report.build(pairs.select("pair_id", "old_uid", "new_uid"), files, rows, holidays, config)
+        return {name: getattr(found, name) for name in report.TABLES}
+
+    return build
+
+
 def run_reports(pending: DataFrame, build: Callable[[DataFrame], dict[str, DataFrame]], out: str, run_id: str, budget: float | None = None, size: int = 200, clock: Callable[[], float] = time.monotonic) -> dict[str, int]:
     """Builds and writes the reports of pending pairs, the lowest depth first; returns how many were reported, failed, deferred.
 

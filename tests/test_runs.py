@@ -5,7 +5,8 @@ from datetime import UTC, datetime
 from pyspark.sql import functions as F
 
 from feedloom.plans import runs
-from feedloom.sources import layout
+from feedloom.sources import gtfs_zip, layout
+from tests.feeds import NEW, OLD, archive
 
 U = "0b9a2c1e-1111-4aaa-8bbb-00000000000"
 PENDING = "pair_id string, org_id string, feed_id string, old_uid string, new_uid string, depth int"
@@ -65,3 +66,14 @@ def test_differences_in_step(spark, tmp_path):
     assert runs.sync_differences(spark, table(*first), feeds("f", "g h", "z"), path) == (0, 0)
     assert runs.sync_differences(spark, table(("f", "a", "c", 5)), feeds("f", "g h"), path) == (1, 3)
     assert stored() == [("f", "a", "c", 5), ("z", "a", "b", 4)]
+
+
+def test_whole_reports(spark, tmp_path):
+    for name, files in (("old", OLD), ("new", NEW)):
+        (tmp_path / f"{name}.zip").write_bytes(archive(files))
+    uid = F.regexp_extract("path", "([^/]+)[.]zip$", 1)
+    scanned = gtfs_zip.scan(spark, f"{tmp_path}/*.zip").withColumn("uid", uid).cache()
+    build = runs.reporter(gtfs_zip.files(scanned).withColumn("uid", uid), scanned.where("kind = 'row'").select("uid", "file", "row_no", "cells"), spark.createDataFrame([], "date date"))
+    counts = runs.run_reports(spark.createDataFrame([("p", "o", "f", "old", "new", 0)], PENDING), build, f"{tmp_path}/out", "r1")
+    assert counts == {"pending": 1, "reported": 1, "failed": 0, "deferred": 0}, spark.read.parquet(f"{tmp_path}/out/results").collect()
+    assert spark.read.parquet(f"{tmp_path}/out/impacts").first()["class"] == "major" and spark.read.parquet(f"{tmp_path}/out/renumbered").first().stops == 1
