@@ -47,11 +47,23 @@ def changed_rows(spark: SparkSession, new: DataFrame, path: str, keys: list[str]
 
 
 def write_changed_partitions(spark: SparkSession, new: DataFrame, path: str, keys: list[str], partitions: list[str]) -> int:
-    """Overwrites only the partitions in which a row changed; returns how many rows did."""
-    changed = changed_rows(spark, new, path, keys)
+    """Overwrites only the partitions in which a row changed or is gone; returns how many rows did.
+
+    new holds whole partitions; those of which it has no row are not touched.
+    """
+    changed = changed_rows(spark, new, path, keys).select(*partitions)
+    try:
+        old = spark.read.schema(new.schema).parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+    else:
+        where = [*keys, *[c for c in partitions if c not in keys]]
+        gone = old.join(new.select(*where), where, "left_anti").join(new.select(*partitions).distinct(), partitions, "left_semi")
+        changed = changed.unionByName(gone.select(*partitions))
     n = changed.count()
     if n:
-        touched = new.join(changed.select(*partitions).distinct(), partitions, "left_semi")
+        touched = new.join(changed.distinct(), partitions, "left_semi")
         touched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
     return n
 

@@ -122,4 +122,8 @@ def test_sinks(spark, tmp_path):
     assert sinks.write_changed_partitions(spark, df, path, ["k"], ["part"]) == 2
     assert sinks.write_changed_partitions(spark, df, path, ["k"], ["part"]) == 0
     assert sinks.write_changed_partitions(spark, df.withColumn("v", F.when(F.col("k") == 1, "z").otherwise(F.col("v"))), path, ["k"], ["part"]) == 1
+    more = df.unionByName(spark.createDataFrame([(3, "c", "y")], df.schema))
+    assert sinks.write_changed_partitions(spark, more, path, ["k"], ["part"]) == 2
+    assert sinks.write_changed_partitions(spark, df.where("part = 'y'"), path, ["k"], ["part"]) == 1
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2]
     assert "<title>t &amp; u</title>" in sinks.atom("t & u", "l", [])
