@@ -23,9 +23,12 @@ def _shaped(df: DataFrame, **given: F.Column) -> DataFrame:
 
 
 def sides(pairs: DataFrame, table: DataFrame) -> DataFrame:
-    """table (keyed by uid) for both sides of every pair: pair_id, side (old or new) and the rest."""
+    """table (keyed by uid) for both sides of every pair: pair_id, side (old or new) and the rest.
+
+    The table stands on the left: of a sort-merge join's right side, all rows of one key are held on the heap.
+    """
     each = pairs.select("pair_id", F.explode(F.array(F.struct(F.lit("old").alias("side"), F.col("old_uid").alias("uid")), F.struct(F.lit("new").alias("side"), F.col("new_uid").alias("uid")))).alias("s")).select("pair_id", "s.side", "s.uid")
-    return each.join(table, "uid").drop("uid")
+    return table.join(each, "uid").select("pair_id", "side", *[c for c in table.columns if c != "uid"])
 
 
 def paired_files(pairs: DataFrame, files: DataFrame) -> DataFrame:
@@ -124,6 +127,19 @@ def numbered(changes: DataFrame) -> DataFrame:
     return each.withColumn("id", number).drop("_p", "_before", "_inside", "_i", "sort_key", "copies", *key)
 
 
+def row_changes(pairs: DataFrame, files: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(every row change with its copies, files of every pair); see raw_diff().
+
+    Pairs and their files are written before rows meet them, so Spark knows their size and need not deal all rows of a
+    publication or file to one task.
+    """
+    pairs = cut(pairs)
+    each = sides(pairs, rows.select("uid", "file", "cells"))
+    paired = cut(paired_files(pairs, files.select("uid", "file", "file_sha256", "status", "encoding", "header", "row_count", "ragged_rows")))
+    chosen = cut(key_choice(paired, each))
+    return keyed_changes(chosen, each).unionByName(multiset_changes(chosen, each)), chosen
+
+
 def raw_diff(pairs: DataFrame, files: DataFrame, rows: DataFrame, config: Config | None = None) -> tuple[DataFrame, DataFrame]:
     """(changes, files of every pair with mode, key, reason and both sides' columns).
 
@@ -131,10 +147,8 @@ def raw_diff(pairs: DataFrame, files: DataFrame, rows: DataFrame, config: Config
     uid, file, row_no, cells.
     """
     config = config or Config()
-    each = sides(pairs, rows.select("uid", "file", "cells"))
-    chosen = cut(key_choice(paired_files(pairs, files.select("uid", "file", "file_sha256", "status", "encoding", "header", "row_count", "ragged_rows")), each))
-    row_changes = cut(keyed_changes(chosen, each).unionByName(multiset_changes(chosen, each)))
-    return numbered(file_changes(chosen).unionByName(bulk(row_changes, config.bulk_threshold))), chosen
+    changes, chosen = row_changes(pairs, files, rows)
+    return numbered(file_changes(chosen).unionByName(bulk(cut(changes), config.bulk_threshold))), chosen
 
 
 def file_counts(changes: DataFrame) -> DataFrame:
