@@ -119,9 +119,9 @@ union all select 'row_added', status, priority, count(*)::bigint from (select *
 def raw_diff_multiset(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of a file without a key, with how often."""
     pairs, files, rows = _order_files(spark, sf)
-    changes, _ = rawdiff.raw_diff(pairs, files.where("file = 'extra.txt'"), rows.where("file = 'extra.txt'"))
+    changes, _ = rawdiff.row_changes(pairs, files.where("file = 'extra.txt'"), rows.where("file = 'extra.txt'"))
     row = F.coalesce("new_row", "old_row")
-    return changes.select("kind", row["status"].alias("status"), row["priority"].alias("priority")).groupBy("kind", "status", "priority").agg(F.count("*").alias("n"))
+    return changes.select("kind", row["status"].alias("status"), row["priority"].alias("priority"), "copies").groupBy("kind", "status", "priority").agg(F.sum("copies").alias("n"))
 
 
 @query(f"""with {_MULTISET},
