@@ -161,6 +161,11 @@ def _equal_runs(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return same.unionByName(others).withColumn("kind", F.lit("exact"))
 
 
+def equal_trips(day_trips: DataFrame) -> DataFrame:
+    """pair_id, group_key, direction, day_type, old_trip, new_trip, kind of the trips that run on as they were."""
+    return _equal_runs(*(_sided(day_trips, COMBO, p) for p in ("old", "new")), COMBO)
+
+
 def match_trips(day_trips: DataFrame, cfg: Matching | None = None) -> DataFrame:
     """pair_id, group_key, direction, day_type, old_trip, new_trip, kind of every trip on a typical day.
 
