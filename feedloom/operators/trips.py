@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import scalar as s
 from feedloom.functions.kernels import BRINGS, TAKES, merged_patterns, pattern_edits, sequence_containment, sequence_similarity
-from feedloom.operators.graph import cut, greedy
+from feedloom.operators.graph import cut, greedy, greedy_classes
 from feedloom.plans.config import Matching
 from feedloom.sources.gtfs_zip import table
 
@@ -124,7 +124,7 @@ def _kind() -> F.Column:
     return F.when(words == "", "exact").otherwise(words)
 
 
-def _near(old: DataFrame, new: DataFrame, keys: list[str], within: int) -> DataFrame:
+def _near(old: DataFrame, new: DataFrame, keys: list[str], within: float) -> DataFrame:
     """Pairs of trips whose median delay is at most `within` minutes, with delays and shift (that median).
 
     At least one shared place is then called at that closely, so trips meet by place and by spans of `within` minutes: a
@@ -140,15 +140,64 @@ def _near(old: DataFrame, new: DataFrame, keys: list[str], within: int) -> DataF
     return both.withColumn("shift", middle).where(F.col("shift") <= within)
 
 
-def _assigned(pairs: DataFrame, keys: list[str], measure, least: float, within: int, most: float | None) -> DataFrame:
-    """The pairs that one-to-one assignment takes by cost; `measure` compares each pair of patterns once."""
-    patterns = pairs.select("old_places", "new_places").distinct().withColumn("share", measure("old_places", "new_places")).where(F.col("share") >= least)
-    cost = F.round(F.col("shift") / within + (1 - F.col("share")), 6)
-    costed = pairs.join(patterns, ["old_places", "new_places"]).withColumn("cost", cost)
-    costed = costed if most is None else costed.where(F.col("cost") <= most)
-    found = costed.select(*keys, "old_trip", "new_trip", "cost", "old_dep", "new_dep", "old_nth", "new_nth", _kind().alias("kind"))
-    order = ["cost", "old_dep", "new_dep", "old_trip", "new_trip", "old_nth", "new_nth"]
-    return greedy(found, keys, ["old_trip"], ["new_trip"], order).select(*keys, "old_trip", "new_trip", "kind")
+def _classes(trips: DataFrame, keys: list[str], side: str) -> DataFrame:
+    """keys, id, members (sorted) of the trips of a side that have equal places and times, with those and the departure."""
+    run = [f"{side}_{c}" for c in ("places", "times", "dep")]
+    return cut(trips.groupBy(*keys, *run).agg(F.array_sort(F.collect_set(f"{side}_trip")).alias("members")).withColumn("id", F.monotonically_increasing_id()))
+
+
+def _meetings(old: DataFrame, new: DataFrame, keys: list[str], within: float) -> int:
+    """How many times classes meet at a place within `within` minutes or a little more."""
+    span = lambda c: F.floor(F.col(c) / within)
+    a = old.select(*keys, F.explode(_visits("old_places", "old_times")).alias("v")).groupBy(*keys, F.col("v.p").alias("p"), span("v.t").alias("span")).agg(F.count("*").alias("a"))
+    b = new.select(*keys, F.explode(_first_visits("new_places", "new_times")).alias("p", "t")).withColumn("span", F.explode(F.array(span("t") - 1, span("t"), span("t") + 1))).groupBy(*keys, "p", "span").agg(F.count("*").alias("b"))
+    return a.join(b, [*keys, "p", "span"]).agg(F.sum(F.col("a").cast("double") * F.col("b"))).first()[0] or 0
+
+
+#: Meetings of classes that one step may compare.
+MEETINGS = 20_000_000
+
+
+def _assigned(old: DataFrame, new: DataFrame, keys: list[str], measure, least: float, within: int, most: float | None, shown: F.Column | None = None) -> DataFrame:
+    """The pairs that one-to-one assignment takes by cost; `measure` compares each pair of patterns once.
+
+    Trips with equal places and times are one class, and classes meet, not trips. Where too many meet at once, pairs of small
+    cost are found and assigned first, among trips that are closer to each other; what stays free then meets in wider spans.
+    No pair costs less than its shift alone, so none that comes earlier is missed.
+    """
+    olds, news = _classes(old, keys, "old"), _classes(new, keys, "new")
+    parts, done = [], 0.0
+    while done < within:
+        span = float(within)
+        while span >= max(2.0, 4 * done) and _meetings(olds, news, keys, span) > MEETINGS:
+            span /= 2
+        near = _near(olds.withColumnRenamed("id", "old_trip").drop("members"), news.withColumnRenamed("id", "new_trip").drop("members"), keys, span)
+        near = near if shown is None else near.where(shown)
+        patterns = near.select("old_places", "new_places").distinct().withColumn("share", measure("old_places", "new_places")).where(F.col("share") >= least)
+        cost = F.round(F.col("shift") / within + (1 - F.col("share")), 6)
+        costed = near.join(patterns, ["old_places", "new_places"]).withColumn("cost", cost)
+        costed = costed if most is None else costed.where(F.col("cost") <= most)
+        costed = costed if span == within else costed.where(F.col("cost") < span / within - 1e-6)
+        edges = costed.select(*keys, F.col("old_trip").alias("old"), F.col("new_trip").alias("new"), "cost", "old_dep", "new_dep", _kind().alias("kind"))
+        won = cut(greedy_classes(edges, olds, news, keys, ["cost", "old_dep", "new_dep"]))
+        member = lambda c, at: F.get(f"{c}_members", (F.col(at) + F.col("i")).cast("int")).alias(f"{c}_trip")
+        whole = won.join(olds.select(*keys, F.col("id").alias("old"), F.col("members").alias("old_members")), "old").join(news.select(F.col("id").alias("new"), F.col("members").alias("new_members")), "new")
+        each = whole.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
+        parts.append(cut(each.select(*keys, member("old", "uo"), member("new", "un"), "kind")))
+        done = span
+        if done < within:
+            olds, news = (cut(_free(x, won, c)) for x, c in ((olds, "old"), (news, "new")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _free(classes: DataFrame, won: DataFrame, side: str) -> DataFrame:
+    """classes without the members that were taken."""
+    used = won.groupBy(F.col(side).alias("id")).agg(F.sum("m").cast("int").alias("used"))
+    left = classes.join(used, "id", "left").withColumn("used", F.coalesce("used", F.lit(0))).where(F.size("members") > F.col("used"))
+    return left.withColumn("members", F.slice("members", F.col("used") + 1, F.size("members"))).select(*classes.columns)
 
 
 def _equal_runs(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -175,8 +224,7 @@ def match_trips(day_trips: DataFrame, cfg: Matching | None = None) -> DataFrame:
     old, new = (_sided(day_trips, COMBO, p) for p in ("old", "new"))
     equal = cut(_equal_runs(old, new, COMBO))
     left_old, left_new = cut(_without(old, equal, COMBO, "old")), cut(_without(new, equal, COMBO, "new"))
-    near = _near(left_old, left_new, COMBO, cfg.trip_max_shift_min)
-    costed = _assigned(near, COMBO, sequence_similarity, cfg.pattern_min_similarity, cfg.trip_max_shift_min, cfg.trip_max_cost)
+    costed = _assigned(left_old, left_new, COMBO, sequence_similarity, cfg.pattern_min_similarity, cfg.trip_max_shift_min, cfg.trip_max_cost)
     none, names = F.lit(None).cast("string"), [*COMBO, "old_trip", "new_trip", "kind"]
     gone = _without(left_old, costed, COMBO, "old").select(*COMBO, "old_trip", none.alias("new_trip"), F.lit("removed").alias("kind"))
     come = _without(left_new, costed, COMBO, "new").select(*COMBO, none.alias("old_trip"), "new_trip", F.lit("added").alias("kind"))
@@ -191,9 +239,8 @@ def match_moved_trips(day_trips: DataFrame, matched: DataFrame, cfg: Matching |
     cfg, keys = cfg or Matching(), ["pair_id", "day_type"]
     left = matched.where("kind in ('removed', 'added')").select(*keys, F.when(F.col("kind") == "removed", "old").otherwise("new").alias("side"), F.coalesce("old_trip", "new_trip").alias("trip_id"))
     rest = cut(day_trips.join(left, [*keys, "side", "trip_id"]))
-    near = _near(_sided(rest, keys, "old"), _sided(rest, keys, "new"), keys, cfg.cross_line_max_shift_min)
     end = lambda i: F.element_at("old_places", i) == F.element_at("new_places", i)
-    return _assigned(near.where(end(1) | end(-1)), keys, sequence_containment, cfg.cross_line_min_containment, cfg.cross_line_max_shift_min, None)
+    return _assigned(_sided(rest, keys, "old"), _sided(rest, keys, "new"), keys, sequence_containment, cfg.cross_line_min_containment, cfg.cross_line_max_shift_min, None, end(1) | end(-1))
 
 
 def timetable_order(matched: DataFrame, day_trips: DataFrame) -> DataFrame:
