@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import CHUNK, chunks, distinct, pieces, ranges, text_bytes, text_of
+from feedloom.llm.common import CHUNK, chunks, distinct, pieces, ranges, released, text_bytes, text_of
 from feedloom.llm.pretokens import Pool, may_cut, per_row, starts
 
 
@@ -360,5 +360,5 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
                     made = [pa.array([x.astype(np.int32) for x, _ in pairs], pa.list_(pa.int32())), pa.array([y for _, y in pairs], pa.binary())]
                 yield pa.RecordBatch.from_arrays([*(pc.take(batch.column(i), pa.array(range(at, end))) for i in range(len(keep))), pa.array(np.diff(bounds), pa.int64()), *made], [*(f"k{i}" for i in range(len(keep))), "n_tokens", *(x.split()[0] for x in kinds.split(", "))])
 
-    out = rows.mapInArrow(run, f"{types}, n_tokens long, {kinds}")
+    out = rows.mapInArrow(released(run), f"{types}, n_tokens long, {kinds}")
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *out.columns[len(keep) :])

@@ -7,10 +7,12 @@ text counts as empty and a null id is an id of its own that sorts before all oth
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +47,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Hands the memory that this process has freed back to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, a task on Arrow batches, giving back what it freed: a worker waits for its next task beside the others of its executor."""
+
+    @functools.wraps(run)
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -162,13 +185,24 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int64) + np.repeat(starts.astype(np.int64) - (ends - lengths), lengths)
 
 
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each distinct key comes first, every key's place among them), as np.unique gives them; its stable sort is slower."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return (np.minimum.reduceat(order, np.flatnonzero(new)) if len(keys) else order), inverse
+
+
 def distinct(data: np.ndarray, begin: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(bytes of each distinct piece, where it first begins, every piece's place among them).
 
     Pieces lie one after the other, up to the end of data. Equal hashes only propose that pieces are equal; the bytes decide.
     """
     raw, end = data.tobytes(), np.append(begin[1:], len(data))
-    _, where, inverse = np.unique(Rolling(data).span(begin, end), return_index=True, return_inverse=True)
+    where, inverse = grouped(Rolling(data).span(begin, end))
     sizes, first = end - begin, begin[where]
     equal = bool((sizes == sizes[where][inverse]).all())
     if equal and len(begin):

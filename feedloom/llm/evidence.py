@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import at_space, chunks, distinct, keyed, pieces, text_bytes, text_of, written
+from feedloom.llm.common import at_space, chunks, distinct, keyed, pieces, released, text_bytes, text_of, written
 from feedloom.llm.pretokens import per_row
 from feedloom.llm.words import words_of
 
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, names: tuple[str, ...], text: str =
                 columns = [*(batch.column(i).slice(at, end - at) for i in (0, 1)), shapes, words]
                 yield pa.RecordBatch.from_arrays(columns, ["dk", "y", "shape", "words"])
 
-    features = written(sampled.mapInArrow(run, "dk long, y array<double>, shape array<double>, words array<binary>"), "labelled-features")
+    features = written(sampled.mapInArrow(released(run), "dk long, y array<double>, shape array<double>, words array<binary>"), "labelled-features")
     got = features.select("dk", "y", "shape").toArrow()  # at most `sample` rows
     n, k = got.num_rows, len(names)
     if not n:
@@ -207,4 +207,4 @@ def probabilities(docs: DataFrame, heads: dict[str, Head], keep: list[F.Column],
             made = [*(pa.array(x) for x in (*p, tokens))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*batch.schema.names[:-1], *names])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import at_space, chunks, keyed, mixed, pieces, ranges, text_bytes, text_of, written
+from feedloom.llm.common import at_space, chunks, keyed, mixed, pieces, ranges, released, text_bytes, text_of, written
 from feedloom.llm.components import components, forest
 from feedloom.llm.words import words_of
 from feedloom.llm.xxh import xxh64
@@ -110,7 +110,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", bits: in
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * width, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), flat], ["doc_id", "dk", "fp"])
 
-    return keyed(docs, text=text).mapInArrow(run, f"doc_id long, dk long, fp {'array<bigint>' if width > 1 else 'long'}")
+    return keyed(docs, text=text).mapInArrow(released(run), f"doc_id long, dk long, fp {'array<bigint>' if width > 1 else 'long'}")
 
 
 def _quarters(x: np.ndarray) -> np.ndarray:
@@ -238,7 +238,7 @@ def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
                 u, v = compare(x, y, radius)
                 yield pa.RecordBatch.from_arrays([pa.array(names[u]), pa.array(names[v])], ["u", "v"])
 
-    return both.select("tile", "other", "x", "y").repartition(parts, "tile", "other").mapInArrow(run, "u long, v long")
+    return both.select("tile", "other", "x", "y").repartition(parts, "tile", "other").mapInArrow(released(run), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, text: str = "text", bits: int = 64) -> DataFrame:

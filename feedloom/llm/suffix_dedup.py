@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import CHUNK, Rolling, chunks, keyed, mixed, ranges, text_bytes
+from feedloom.llm.common import CHUNK, Rolling, chunks, keyed, mixed, ranges, released, text_bytes
 
 WIDTH, GRAM, SPAN = 100, 37, 64
 #: Bytes of text for each partition.
@@ -246,7 +246,7 @@ def dedup(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array(found["key"][mixed(found["g"] + np.uint64(1)) % np.uint64(16) == 0].astype(np.int64) ^ NONE)], ["key"])
 
     sample = rows.select("text").sample(min(1.0, SAMPLED / max(n, 1)), 42) if n > SAMPLED else rows.select("text")
-    keys = np.sort(np.array([r[0] for r in sample.mapInArrow(sampled, "key long").limit(200_000).collect()], np.int64)) ^ NONE
+    keys = np.sort(np.array([r[0] for r in sample.mapInArrow(released(sampled), "key long").limit(200_000).collect()], np.int64)) ^ NONE
     splitters = keys.astype(np.uint64)[np.linspace(0, len(keys) - 1, buckets + 1).astype(int)[1:-1]] if len(keys) else np.zeros(0, np.uint64)
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,8 +395,8 @@ def dedup(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> Da
         spans_ = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pairs)
         return pa.table([left["doc_id"], pa.array(np.diff(offs), pa.int64()), pa.array(kept, pa.binary()), spans_, *(left[k] for k in kept_columns)], ["doc_id", "n_bytes", "kept", "spans", *kept_columns])
 
-    found = rows.select("doc_id", "dk", "text").mapInArrow(find, ROWS).repartitionById(buckets, "at").mapInArrow(group, ROWS)
-    decided = texts.groupBy("part").cogroup(found.withColumn("part", F.col("at")).groupBy("part")).applyInArrow(cut, ROWS).repartitionById(buckets, "at").mapInArrow(sort, ROWS)
+    found = rows.select("doc_id", "dk", "text").mapInArrow(released(find), ROWS).repartitionById(buckets, "at").mapInArrow(released(group), ROWS)
+    decided = texts.groupBy("part").cogroup(found.withColumn("part", F.col("at")).groupBy("part")).applyInArrow(cut, ROWS).repartitionById(buckets, "at").mapInArrow(released(sort), ROWS)
     types = "doc_id long, n_bytes long, kept binary, spans array<struct<begin: long, end: long>>" + "".join(f", {k} {t}" for k, t in kinds.items())
     out = texts.groupBy("part").cogroup(decided.withColumn("part", F.col("at")).groupBy("part")).applyInArrow(remove, types)
     return out.select("doc_id", "n_bytes", "kept", "spans", *[F.col(f"k{i}").alias(k) for i, k in enumerate(keep)])
