@@ -23,10 +23,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import CHUNK, at_space, chunks, distinct, keyed, mixed, pieces, text_bytes, written
+from feedloom.llm.common import CHUNK, at_space, chunks, distinct, keyed, mixed, pieces, released, text_bytes, written
 from feedloom.llm.words import words_of
 
 #: Words that are units of their own, endings, classes, sweeps of the exchange of units.
@@ -38,6 +39,8 @@ FOLDS, OUT = 7, 2
 BETA = 5.0
 #: Counts up to this are looked up when words are exchanged, not worked out.
 SMALL = 8
+#: A history class and how often a word follows it.
+RECORD = np.dtype([("cell", "u1"), ("n", "<u4")])
 UNITS = WORDS + ENDINGS + 1
 END = UNITS - 1
 
@@ -178,6 +181,44 @@ class Assignment:
         return np.where(score[rows, best] - score[rows, own] > np.log(self.classes), best, own)
 
 
+def exchanged(batches: Iterable[pa.RecordBatch], assignment: Assignment) -> Iterator[pa.RecordBatch]:
+    """w, c, cls, cells and ns of every word, from rows of w, own (the class of its ending) and cells (RECORDs).
+
+    Rows come sorted by word, so a word's rows follow each other; the counts of the last one wait for the next batch.
+    """
+    waiting: tuple[pa.Array, np.ndarray, np.ndarray] | None = None
+
+    def settle(words: pa.Array, own: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        group, cell = np.nonzero(sums)
+        n = sums[group, cell]
+        chosen = assignment(group, cell, n, own)
+        ends = pa.array(np.searchsorted(group, np.arange(len(words) + 1)), pa.int32())
+        cells = pa.ListArray.from_arrays(ends, pa.array(cell.astype(np.int16)))
+        counts = pa.ListArray.from_arrays(ends, pa.array(n))
+        return pa.RecordBatch.from_arrays([words, pa.array(sums.sum(axis=1)), pa.array(chosen.astype(np.int16)), cells, counts], ["w", "c", "cls", "cells", "ns"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        words = batch.column(0).cast(pa.binary())
+        change = np.r_[True, ~pc.equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)]
+        begin = np.flatnonzero(change)
+        raw, offs = text_bytes(batch.column(2))
+        record = raw.view(RECORD)
+        at = np.repeat(np.cumsum(change) - 1, np.diff(offs) // RECORD.itemsize) * CLASSES + record["cell"]
+        sums = np.bincount(at, record["n"], len(begin) * CLASSES).astype(np.int64).reshape(-1, CLASSES)
+        words, own = words.take(pa.array(begin)), batch.column(1).to_numpy()[begin].astype(np.int64)
+        if waiting is not None and waiting[0][0] == words[0]:
+            sums[0] += waiting[2][0]
+        elif waiting is not None:
+            words, own, sums = pa.concat_arrays([waiting[0], words]), np.concatenate([waiting[1], own]), np.concatenate([waiting[2], sums])
+        if len(words) > 1:
+            yield settle(words[:-1], own[:-1], sums[:-1])
+        waiting = pa.array([words[-1].as_py()], pa.binary()), own[-1:].copy(), sums[-1:].copy()
+    if waiting is not None:
+        yield settle(*waiting)
+
+
 class Model:
     """Log10 probabilities of classes after history classes, and of words in classes."""
 
@@ -215,7 +256,7 @@ def scores(docs: DataFrame, text: str = "text") -> DataFrame:
                     sums[word] = sums.get(word, 0) + c
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), pa.array(list(sums.values()), pa.int64())], ["w", "c"])
 
-    table = written(train.mapInArrow(count, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c")), "word-counts")
+    table = written(train.mapInArrow(released(count), "w binary, c long").groupBy("w").agg(F.sum("c").alias("c")), "word-counts")
     train_docs = train.count()
     total, types, n1, n2 = table.agg(F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
     total, types = (total or 0) + train_docs, types + (train_docs > 0)
@@ -255,7 +296,7 @@ def scores(docs: DataFrame, text: str = "text") -> DataFrame:
         some = np.flatnonzero(cells)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(cells[some])], ["cell", "c"])
 
-    found = train.mapInArrow(pairs_of, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toArrow()  # at most UNITS x UNITS rows
+    found = train.mapInArrow(released(pairs_of), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toArrow()  # at most UNITS x UNITS rows
     pairs = np.zeros(UNITS * UNITS)
     pairs[found["cell"].to_numpy()] = found["c"].to_numpy()
     del found
@@ -287,58 +328,18 @@ def scores(docs: DataFrame, text: str = "text") -> DataFrame:
             for at, c in owns:
                 own[at] = c
             ends = np.searchsorted(pair, np.arange(len(sums) + 1) * CLASSES)
-            record = np.zeros(len(pair), [("cell", "u1"), ("n", "<u4")])
+            record = np.zeros(len(pair), RECORD)
             record["cell"], record["n"] = pair % CLASSES, n
-            packed = pa.Array.from_buffers(pa.binary(), len(sums), [None, pa.py_buffer((ends * 5).astype(np.int32)), pa.py_buffer(record.tobytes())])
+            packed = pa.Array.from_buffers(pa.binary(), len(sums), [None, pa.py_buffer((ends * RECORD.itemsize).astype(np.int32)), pa.py_buffer(record.tobytes())])
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), pa.array(own), packed], ["w", "own", "cells"])
 
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by word, so a word's rows follow each other; those of the last one wait for the next batch."""
-        assignment = Assignment(shared.value[1])
-        waiting: list[tuple] = []
-
-        def settle(words: list[bytes], own: np.ndarray, group: np.ndarray, cell: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            pair, inverse = np.unique(group * CLASSES + cell, return_inverse=True)
-            n = np.bincount(inverse, n, len(pair)).astype(np.int64)
-            chosen = assignment(pair // CLASSES, pair % CLASSES, n, own)
-            ends = np.searchsorted(pair, np.arange(len(words) + 1) * CLASSES)
-            cells = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((pair % CLASSES).astype(np.int16)))
-            counts = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(n))
-            size = pa.array(np.add.reduceat(n, ends[:-1]).astype(np.int64))
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), size, pa.array(chosen.astype(np.int16)), cells, counts], ["w", "c", "cls", "cells", "ns"])
-
-        def flush(rows_: list[tuple]) -> pa.RecordBatch:
-            words, own, group, cell, n = [], [], [], [], []
-            for word, mine, record in rows_:
-                if not words or words[-1] != word:
-                    words.append(word)
-                    own.append(mine)
-                group.append(np.full(len(record), len(words) - 1))
-                cell.append(record["cell"].astype(np.int64))
-                n.append(record["n"].astype(np.int64))
-            return settle(words, np.array(own, np.int64), *(np.concatenate(x) for x in (group, cell, n)))
+        yield from exchanged(batches, Assignment(shared.value[1]))
 
-        for batch in batches:
-            records = [np.frombuffer(x.as_buffer(), [("cell", "u1"), ("n", "<u4")]) for x in batch.column(2)]
-            waiting += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), records, strict=True)
-            if len({waiting[0][0], waiting[-1][0]}) == 2:
-                at = len(waiting) - 1
-                while waiting[at - 1][0] == waiting[-1][0]:
-                    at -= 1
-                yield flush(waiting[:at])
-                waiting = waiting[at:]
-            elif len(waiting) > 1:  # one word alone: its rows become one
-                whole = np.bincount(np.concatenate([r["cell"] for *_, r in waiting]), np.concatenate([r["n"] for *_, r in waiting]), CLASSES)
-                record = np.zeros(int((whole > 0).sum()), [("cell", "u1"), ("n", "<u8")])
-                record["cell"], record["n"] = np.flatnonzero(whole), whole[whole > 0]
-                waiting = [(waiting[0][0], waiting[0][1], record)]
-        if waiting:
-            yield flush(waiting)
-
-    gathered = train.mapInArrow(contexts, "w binary, own byte, cells binary")
+    gathered = train.mapInArrow(released(contexts), "w binary, own byte, cells binary")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     gathered = gathered.repartition(parts, "w").sortWithinPartitions("w")
-    model_words = written(gathered.mapInArrow(assign, "w binary, c long, cls short, cells array<short>, ns array<long>"), "word-classes")
+    model_words = written(gathered.mapInArrow(released(assign), "w binary, c long, cls short, cells array<short>, ns array<long>"), "word-classes")
     cells = model_words.select("cls", F.explode(F.arrays_zip("cells", "ns")).alias("x")).groupBy("cls", F.col("x.cells").alias("past")).agg(F.sum("x.ns").alias("n")).toArrow()  # at most CLASSES x CLASSES rows
     seeds = cls[: min(WORDS, len(held))]
     transitions = np.zeros((CLASSES, CLASSES))
@@ -411,7 +412,7 @@ def scores(docs: DataFrame, text: str = "text") -> DataFrame:
             )
 
     kinds = "doc_id long, dk long, held_out boolean, n long, known long, base double, score double, w binary, past short"
-    found_parts = written(rows.mapInArrow(local, kinds), "scores")
+    found_parts = written(rows.mapInArrow(released(local), kinds), "scores")
     texts, rare = found_parts.where("w is null"), found_parts.where("w is not null")
     c = F.col("c")
     joined = rare.select("dk", "n", "w", "past", F.col("score").alias("unseen")).join(model_words.select("w", "c", "cls"), "w", "left")

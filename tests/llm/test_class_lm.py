@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from tests.llm.helpers import corpus, documents, words
 
 from feedloom.llm import class_lm
@@ -149,6 +150,31 @@ def test_score_against_brute_force(spark, monkeypatch):
         monkeypatch.setattr(class_lm, "HELD", 65_536)
 
 
+def test_words_are_exchanged_by_the_batch():
+    """op3: a word's counts add up over rows and batches, and words are judged a batch at a time, not row by row."""
+    r, calls = np.random.default_rng(4), []
+
+    def keep(group, cell, n, own):
+        calls.append(len(own))
+        return own
+
+    rows = [(w, w[0] % 7, [(int(c), int(r.integers(1, 9))) for c in sorted(set(r.integers(0, 63, 3)))]) for w in sorted(b"%c%d" % (97 + k % 3, k // 40) for k in range(120))]
+    rows += [(b"z", 3, [(5, 2**32 - 1)])] * 30
+    packed = [(w, own, np.array(cells, class_lm.RECORD).tobytes()) for w, own, cells in rows]
+    schema = pa.schema([("w", pa.binary()), ("own", pa.int8()), ("cells", pa.binary())])
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*packed[i : i + 7]), schema)], schema=schema) for i in range(0, len(packed), 7)]
+    found = [row for b in class_lm.exchanged(iter([batches[0].slice(0, 0), *batches]), keep) for row in b.to_pylist()]
+    want = {}
+    for w, own, cells in rows:
+        counts = want.setdefault(w, (own, Counter()))[1]
+        for cell, n in cells:
+            counts[cell] += n
+    assert [x["w"] for x in found] == sorted(want) and len(calls) <= len(batches) + 1
+    for x in found:
+        own, counts = want[x["w"]]
+        assert (x["cls"], x["c"], dict(zip(x["cells"], x["ns"], strict=True))) == (own, sum(counts.values()), dict(counts))
+
+
 def test_pieces_of_rows():
     texts = ["a b c " * 50, "", "x" * 90, " ", "one two", "", "q w e r " * 30]
     raw = np.frombuffer("".join(texts).encode(), np.uint8)
