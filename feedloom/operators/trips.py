@@ -110,16 +110,27 @@ def _first_visits(places: str, times: str) -> F.Column:
     return F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(F.filter(visits, lambda x: x["p"] == n), 1)["t"]))
 
 
+def _visiting(trips: DataFrame, side: str) -> DataFrame:
+    """trips with {side}_visits: an old trip's timed calls, each once with its number, or a new trip's first visits by place."""
+    if f"{side}_visits" in trips.columns:
+        return trips
+    if side == "new":
+        return trips.withColumn("new_visits", _first_visits("new_places", "new_times"))
+    every = _visits("old_places", "old_times")
+    number = lambda x: F.size(F.filter(every, lambda y: y == x))
+    return trips.withColumn("old_visits", F.transform(F.array_distinct(every), lambda x: F.struct(x["p"].alias("p"), x["t"].alias("t"), number(x).alias("n"))))
+
+
 def _delays() -> F.Column:
     """Minutes between each timed call of the old trip and the new trip's first visit of its place."""
-    both = F.transform(_visits("old_places", "old_times"), lambda x: F.abs(x["t"] - F.try_element_at(_first_visits("new_places", "new_times"), x["p"])))
-    return F.filter(both, lambda d: d.isNotNull())
+    each = F.transform("old_visits", lambda x: F.array_repeat(F.abs(x["t"] - F.try_element_at("new_visits", x["p"])), x["n"]))
+    return F.filter(F.flatten(each), lambda d: d.isNotNull())
 
 
 def _kind() -> F.Column:
-    """What became of a trip, by its places and times."""
-    rerouted = F.col("old_places") != F.col("new_places")
-    retimed = F.when(rerouted, F.exists("delays", lambda d: d > 0)).otherwise(F.col("old_times") != F.col("new_times"))
+    """What became of a trip, by its pattern, its times and whether a call it keeps has another time."""
+    rerouted = F.col("old_pattern") != F.col("new_pattern")
+    retimed = F.when(rerouted, F.col("late")).otherwise(F.col("old_run") != F.col("new_run"))
     words = F.concat_ws("_", F.when(retimed, "retimed"), F.when(rerouted, "rerouted"))
     return F.when(words == "", "exact").otherwise(words)
 
@@ -130,9 +141,10 @@ def _near(old: DataFrame, new: DataFrame, keys: list[str], within: float) -> Dat
     At least one shared place is then called at that closely, so trips meet by place and by spans of `within` minutes: a
     trip costs the trips around it, not all of its line.
     """
+    old, new = _visiting(old, "old"), _visiting(new, "new")
     span = lambda c: F.floor(F.col(c) / within)
-    a = old.select(*keys, "old_trip", F.explode(F.array_distinct(_visits("old_places", "old_times"))).alias("v")).select(*keys, "old_trip", F.col("v.p").alias("p"), F.col("v.t").alias("a")).withColumn("span", span("a"))
-    b = new.select(*keys, "new_trip", F.explode(_first_visits("new_places", "new_times")).alias("p", "b")).withColumn("span", F.explode(F.array(span("b") - 1, span("b"), span("b") + 1)))
+    a = old.select(*keys, "old_trip", F.explode("old_visits").alias("v")).select(*keys, "old_trip", F.col("v.p").alias("p"), F.col("v.t").alias("a")).withColumn("span", span("a"))
+    b = new.select(*keys, "new_trip", F.explode("new_visits").alias("p", "b")).withColumn("span", F.explode(F.array(span("b") - 1, span("b"), span("b") + 1)))
     met = a.join(b, [*keys, "p", "span"]).where(F.abs(F.col("a") - F.col("b")) <= within).select(*keys, "old_trip", "new_trip").distinct()
     both = met.join(old, [*keys, "old_trip"]).join(new, [*keys, "new_trip"]).withColumn("delays", _delays())
     ordered, n = F.array_sort("delays"), F.size("delays")
@@ -146,11 +158,24 @@ def _classes(trips: DataFrame, keys: list[str], side: str) -> DataFrame:
     return cut(trips.groupBy(*keys, *run).agg(F.array_sort(F.collect_set(f"{side}_trip")).alias("members")).withColumn("id", F.monotonically_increasing_id()))
 
 
+def _numbered(classes: dict[str, DataFrame], what: str, name: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """(what, name: each list of the classes of both sides and its number; the classes with that number)."""
+    lists = [x.select(F.col(f"{side}_{what}").alias(what)) for side, x in classes.items()]
+    known = cut(lists[0].unionByName(lists[1]).distinct().withColumn(name, F.monotonically_increasing_id()))
+    return known, {side: x.join(known.select(F.col(what).alias(f"{side}_{what}"), F.col(name).alias(f"{side}_{name}")), f"{side}_{what}") for side, x in classes.items()}
+
+
+def _slim(classes: DataFrame, side: str) -> DataFrame:
+    """classes with what pairs need of them instead of their lists."""
+    ends = {f"{side}_first": F.element_at(f"{side}_places", 1), f"{side}_last": F.element_at(f"{side}_places", -1)}
+    return cut(_visiting(classes, side).withColumns(ends).drop(f"{side}_places", f"{side}_times"))
+
+
 def _meetings(old: DataFrame, new: DataFrame, keys: list[str], within: float) -> int:
     """How many times classes meet at a place within `within` minutes or a little more."""
     span = lambda c: F.floor(F.col(c) / within)
-    a = old.select(*keys, F.explode(_visits("old_places", "old_times")).alias("v")).groupBy(*keys, F.col("v.p").alias("p"), span("v.t").alias("span")).agg(F.count("*").alias("a"))
-    b = new.select(*keys, F.explode(_first_visits("new_places", "new_times")).alias("p", "t")).withColumn("span", F.explode(F.array(span("t") - 1, span("t"), span("t") + 1))).groupBy(*keys, "p", "span").agg(F.count("*").alias("b"))
+    a = old.select(*keys, F.explode("old_visits").alias("v")).groupBy(*keys, F.col("v.p").alias("p"), span("v.t").alias("span")).agg(F.count("*").alias("a"))
+    b = new.select(*keys, F.explode("new_visits").alias("p", "t")).withColumn("span", F.explode(F.array(span("t") - 1, span("t"), span("t") + 1))).groupBy(*keys, "p", "span").agg(F.count("*").alias("b"))
     return a.join(b, [*keys, "p", "span"]).agg(F.sum(F.col("a").cast("double") * F.col("b"))).first()[0] or 0
 
 
@@ -161,11 +186,12 @@ MEETINGS = 20_000_000
 def _assigned(old: DataFrame, new: DataFrame, keys: list[str], measure, least: float, within: int, most: float | None, shown: F.Column | None = None) -> DataFrame:
     """The pairs that one-to-one assignment takes by cost; `measure` compares each pair of patterns once.
 
-    Trips with equal places and times are one class, and classes meet, not trips. Where too many meet at once, pairs of small
+    Trips with equal places and times are one class, and classes meet, not trips; pairs carry the numbers of their lists. Where too many meet at once, pairs of small
     cost are found and assigned first, among trips that are closer to each other; what stays free then meets in wider spans.
     No pair costs less than its shift alone, so none that comes earlier is missed.
     """
-    olds, news = _classes(old, keys, "old"), _classes(new, keys, "new")
+    patterns, classes = _numbered({"old": _classes(old, keys, "old"), "new": _classes(new, keys, "new")}, "places", "pattern")
+    olds, news = (_slim(x, side) for side, x in _numbered(classes, "times", "run")[1].items())
     parts, done = [], 0.0
     while done < within:
         span = float(within)
@@ -173,9 +199,12 @@ def _assigned(old: DataFrame, new: DataFrame, keys: list[str], measure, least: f
             span /= 2
         near = _near(olds.withColumnRenamed("id", "old_trip").drop("members"), news.withColumnRenamed("id", "new_trip").drop("members"), keys, span)
         near = near if shown is None else near.where(shown)
-        patterns = near.select("old_places", "new_places").distinct().withColumn("share", measure("old_places", "new_places")).where(F.col("share") >= least)
+        near = cut(near.select(*keys, "old_trip", "new_trip", "old_pattern", "new_pattern", "old_run", "new_run", "old_dep", "new_dep", "shift", F.exists("delays", lambda d: d > 0).alias("late")))
+        named = lambda side: patterns.select(F.col("places").alias(f"{side}_places"), F.col("pattern").alias(f"{side}_pattern"))
+        compared = near.select("old_pattern", "new_pattern").distinct().join(named("old"), "old_pattern").join(named("new"), "new_pattern")
+        shares = compared.select("old_pattern", "new_pattern", measure("old_places", "new_places").alias("share")).where(F.col("share") >= least)
         cost = F.round(F.col("shift") / within + (1 - F.col("share")), 6)
-        costed = near.join(patterns, ["old_places", "new_places"]).withColumn("cost", cost)
+        costed = near.join(shares, ["old_pattern", "new_pattern"]).withColumn("cost", cost)
         costed = costed if most is None else costed.where(F.col("cost") <= most)
         costed = costed if span == within else costed.where(F.col("cost") < span / within - 1e-6)
         edges = costed.select(*keys, F.col("old_trip").alias("old"), F.col("new_trip").alias("new"), "cost", "old_dep", "new_dep", _kind().alias("kind"))
@@ -239,8 +268,8 @@ def match_moved_trips(day_trips: DataFrame, matched: DataFrame, cfg: Matching |
     cfg, keys = cfg or Matching(), ["pair_id", "day_type"]
     left = matched.where("kind in ('removed', 'added')").select(*keys, F.when(F.col("kind") == "removed", "old").otherwise("new").alias("side"), F.coalesce("old_trip", "new_trip").alias("trip_id"))
     rest = cut(day_trips.join(left, [*keys, "side", "trip_id"]))
-    end = lambda i: F.element_at("old_places", i) == F.element_at("new_places", i)
-    return _assigned(_sided(rest, keys, "old"), _sided(rest, keys, "new"), keys, sequence_containment, cfg.cross_line_min_containment, cfg.cross_line_max_shift_min, None, end(1) | end(-1))
+    end = lambda at: F.col(f"old_{at}") == F.col(f"new_{at}")
+    return _assigned(_sided(rest, keys, "old"), _sided(rest, keys, "new"), keys, sequence_containment, cfg.cross_line_min_containment, cfg.cross_line_max_shift_min, None, end("first") | end("last"))
 
 
 def timetable_order(matched: DataFrame, day_trips: DataFrame) -> DataFrame:
