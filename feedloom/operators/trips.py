@@ -229,14 +229,34 @@ def _free(classes: DataFrame, won: DataFrame, side: str) -> DataFrame:
     return left.withColumn("members", F.slice("members", F.col("used") + 1, F.size("members"))).select(*classes.columns)
 
 
+def _with_partners(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Trips of both sides (side, trip, places, times, dep, nth) with `partner`, the one of the other side that equals it.
+
+    Equal are places and times. Trips that kept their id pair first, then the others in order, place by place. One exchange
+    by keys, places and times brings together all that this needs; what holds a null there has no partner.
+    """
+    sides = (x.select(*keys, F.lit(p).alias("side"), *[F.col(f"{p}_{c}").alias(c) for c in ("trip", "places", "times", "dep", "nth")]) for x, p in ((old, "old"), (new, "new")))
+    run = [*keys, "places", "times"]
+    both = next(sides).unionByName(next(sides)).repartition(*run).withColumn("whole", F.expr(" and ".join(f"`{c}` is not null" for c in [*run, "trip"])))
+    kept = W.partitionBy(*run, "trip")
+    both = both.withColumn("kept", F.when(F.min("side").over(kept) != F.max("side").over(kept), F.col("trip")))
+    both = both.withColumn("n", F.when(F.col("kept").isNull(), F.row_number().over(W.partitionBy(*run, "kept", "side").orderBy("nth"))))
+    of = lambda side: F.max(F.when(F.col("side") == side, F.col("trip"))).over(W.partitionBy(*run, "kept", "n"))
+    partner = F.when(F.col("whole"), F.when(F.col("side") == "old", of("new")).otherwise(of("old")))
+    return both.select(*keys, "side", "trip", "places", "times", "dep", "nth", partner.alias("partner"))
+
+
+def _pairs_of(paired: DataFrame, keys: list[str]) -> DataFrame:
+    return paired.where("side = 'old' and partner is not null").select(*keys, F.col("trip").alias("old_trip"), F.col("partner").alias("new_trip"), F.lit("exact").alias("kind"))
+
+
+def _left_over(paired: DataFrame, keys: list[str], side: str) -> DataFrame:
+    return paired.where((F.col("side") == side) & F.col("partner").isNull()).select(*keys, *[F.col(c).alias(f"{side}_{c}") for c in ("trip", "places", "times", "dep", "nth")])
+
+
 def _equal_runs(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Trips with equal places and times: those that kept their id first, then the others in order, place by place."""
-    run = [*keys, "places", "times"]
-    a, b = (x.withColumnRenamed(f"{p}_places", "places").withColumnRenamed(f"{p}_times", "times") for x, p in ((old, "old"), (new, "new")))
-    same = a.join(b.withColumn("old_trip", F.col("new_trip")), [*run, "old_trip"]).select(*keys, "old_trip", "new_trip")
-    nth = lambda x, p: _without(x, same, keys, p).withColumn("n", F.row_number().over(W.partitionBy(*run).orderBy(f"{p}_nth")))
-    others = nth(a, "old").join(nth(b, "new"), [*run, "n"]).select(*keys, "old_trip", "new_trip")
-    return same.unionByName(others).withColumn("kind", F.lit("exact"))
+    return _pairs_of(_with_partners(old, new, keys), keys)
 
 
 def equal_trips(day_trips: DataFrame) -> DataFrame:
@@ -251,8 +271,9 @@ def match_trips(day_trips: DataFrame, cfg: Matching | None = None) -> DataFrame:
     """
     cfg = cfg or Matching()
     old, new = (_sided(day_trips, COMBO, p) for p in ("old", "new"))
-    equal = cut(_equal_runs(old, new, COMBO))
-    left_old, left_new = cut(_without(old, equal, COMBO, "old")), cut(_without(new, equal, COMBO, "new"))
+    paired = cut(_with_partners(old, new, COMBO))
+    equal = _pairs_of(paired, COMBO)
+    left_old, left_new = (_left_over(paired, COMBO, p) for p in ("old", "new"))
     costed = _assigned(left_old, left_new, COMBO, sequence_similarity, cfg.pattern_min_similarity, cfg.trip_max_shift_min, cfg.trip_max_cost)
     none, names = F.lit(None).cast("string"), [*COMBO, "old_trip", "new_trip", "kind"]
     gone = _without(left_old, costed, COMBO, "old").select(*COMBO, "old_trip", none.alias("new_trip"), F.lit("removed").alias("kind"))
@@ -307,10 +328,17 @@ def dominant_patterns(trips: DataFrame, keys: list[str]) -> DataFrame:
 def trip_edits(matched: DataFrame, day_trips: DataFrame) -> DataFrame:
     """pair_id, group_key, direction, kind, places, trips: the edits that paired trips show, and how many show each.
 
-    Each pair of patterns is compared once.
+    Each pair of patterns is compared once. Trips of equal places show none, so they are left out by their kind and only
+    the trips of the others bring their places.
     """
-    side = lambda p: day_trips.where(F.col("side") == p).select("pair_id", "day_type", F.col("trip_id").alias(f"{p}_trip"), F.col("places").alias(f"{p}_places")).dropDuplicates(["pair_id", "day_type", f"{p}_trip"])
-    both = matched.where("old_trip is not null and new_trip is not null").join(side("old"), ["pair_id", "day_type", "old_trip"]).join(side("new"), ["pair_id", "day_type", "new_trip"]).where("old_places <> new_places")
+    rerouted = cut(matched.where("old_trip is not null and new_trip is not null and kind not in ('exact', 'retimed')"))
+
+    def side(p: str) -> DataFrame:
+        keys = ["pair_id", "day_type", f"{p}_trip"]
+        named = day_trips.where(F.col("side") == p).select("pair_id", "day_type", F.col("trip_id").alias(f"{p}_trip"), F.col("places").alias(f"{p}_places"))
+        return named.join(rerouted.select(*keys).distinct(), keys, "left_semi").dropDuplicates(keys)
+
+    both = rerouted.join(side("old"), ["pair_id", "day_type", "old_trip"]).join(side("new"), ["pair_id", "day_type", "new_trip"]).where("old_places <> new_places")
     counts = both.groupBy("pair_id", "group_key", "direction", "old_places", "new_places").agg(F.count("*").alias("n"))
     each = counts.select("pair_id", "group_key", "direction", "n", F.explode(pattern_edits("old_places", "new_places")).alias("e"))
     return each.groupBy("pair_id", "group_key", "direction", F.col("e.kind").alias("kind"), F.col("e.places").alias("places")).agg(F.sum("n").alias("trips"))
