@@ -55,14 +55,13 @@ class Tokens:
     def __init__(self, data: np.ndarray, offs: np.ndarray):
         words = words_of(data, offs)
         self.bounds = words.rows
-        self.found, first, self.place = distinct(words.data, words.begin)
-        size = np.fromiter(map(len, self.found), np.int64, len(self.found)) - 1
+        self.found, first, self.place = distinct(words.data, words.begin, 1)
+        size = np.fromiter(map(len, self.found), np.int64, len(self.found))
         code = np.zeros(len(first), np.uint64)
         for back in (1, 2, 3):
             byte = words.data[np.maximum(first + size - back, 0)] if len(first) else np.zeros(0, np.uint8)
             code = code * np.uint64(257) + np.where(size >= back, byte.astype(np.uint64) + np.uint64(1), np.uint64(0))
         self.endings = (mixed(code) % np.uint64(ENDINGS)).astype(np.int64)
-        self.found = [w[:-1] for w in self.found]
 
     def units(self, index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
         """(place of each distinct word in the index of held ones or -1, its unit)."""

@@ -196,20 +196,35 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.minimum.reduceat(order, np.flatnonzero(new)) if len(keys) else order), inverse
 
 
-def distinct(data: np.ndarray, begin: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _equal_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> bool:
+    """Whether all pieces of these sizes that begin at a have the bytes of those that begin at b; eight bytes at a time."""
+    padded = np.append(data, np.zeros(8, np.uint8))
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,)).copy()
+    while len(a):
+        differ = eight[a] ^ eight[b]
+        differ <<= (8 * np.maximum(8 - sizes, 0)).astype(np.uint64)  # of a piece's last bytes, what follows goes
+        if differ.any():
+            return False
+        more = np.flatnonzero(sizes > 8)
+        a, b, sizes = a[more] + 8, b[more] + 8, sizes[more] - 8
+    return True
+
+
+def distinct(data: np.ndarray, begin: np.ndarray, without: int = 0) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(bytes of each distinct piece, where it first begins, every piece's place among them).
 
-    Pieces lie one after the other, up to the end of data. Equal hashes only propose that pieces are equal; the bytes decide.
+    Pieces lie one after the other, up to the end of data, and have a byte at least; their last `without` bytes are not
+    given. Equal hashes only propose that pieces are equal; the bytes decide.
     """
     raw, end = data.tobytes(), np.append(begin[1:], len(data))
     where, inverse = grouped(Rolling(data).span(begin, end))
     sizes, first = end - begin, begin[where]
     equal = bool((sizes == sizes[where][inverse]).all())
     if equal and len(begin):
-        equal = bool((data[begin[0] :] == data[ranges(first[inverse], sizes)]).all())
+        equal = _equal_bytes(data, begin, first[inverse], sizes)
     if not equal:
         known: dict[bytes, int] = {}
         inverse = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip(begin.tolist(), end.tolist(), strict=True)], np.int64)
         where = np.unique(inverse, return_index=True)[1]
         first = begin[where]
-    return [raw[a:b] for a, b in zip(first.tolist(), end[where].tolist(), strict=True)], first, inverse
+    return [raw[a:b] for a, b in zip(first.tolist(), (end[where] - without).tolist(), strict=True)], first, inverse

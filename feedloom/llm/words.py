@@ -6,8 +6,6 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from feedloom.llm.common import ranges
-
 
 @dataclass
 class Words:
@@ -29,19 +27,12 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 def words_of(data: np.ndarray, offs: np.ndarray) -> Words:
     """The runs of bytes other than 0x20 and 0x09-0x0D of every row."""
-    data = lowered(data)
-    inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    before = np.zeros(len(data) + 1, bool)
-    before[1:] = inside[:-1]
-    before[offs] = False
-    begin = np.flatnonzero(inside & ~before)
-    after = np.zeros(len(data) + 1, bool)
-    after[:-1] = inside[1:]
-    cut = np.zeros(len(data) + 2, bool)
-    cut[offs] = True
-    size = np.flatnonzero(inside & (~after | cut[1:])) + 1 - begin
+    data = np.insert(lowered(data), offs[1:], 32)  # so that no word reaches into the next row
+    data[(data >= 9) & (data <= 13)] = 32
+    inside = np.zeros(len(data) + 2, bool)
+    np.not_equal(data, 32, out=inside[1:-1])
+    begin, end = np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2).T
+    size = end - begin
     place = np.cumsum(size + 1) - size - 1
-    out = data[np.minimum(ranges(begin, size + 1), max(len(data) - 1, 0))] if len(begin) else np.zeros(0, np.uint8)
-    out[place + size] = 32
-    return Words(out, place, size, np.searchsorted(begin, offs))
+    out = data[inside[1:-1] | inside[:-2]]  # the words, each with the space after it
+    return Words(out, place, size, np.searchsorted(begin, offs + np.arange(len(offs))))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -9,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from tests.llm.helpers import corpus, documents, words
 
-from feedloom.llm import class_lm
+from feedloom.llm import class_lm, common
 
 
 def test_base_and_model(spark):
@@ -186,3 +187,16 @@ def test_pieces_of_rows():
                 assert f == (r not in seen)
                 seen.setdefault(r, []).extend(tokens.found[p].decode() for p in tokens.place[tokens.bounds[i] : tokens.bounds[i + 1]])
         assert seen == {i: words(t) for i, t in enumerate(texts)}
+
+
+def test_words_are_told_apart_without_an_index_of_bytes(monkeypatch):
+    """op3: words are found and compared eight bytes at a time, not by a number for every byte; equal hashes alone don't count."""
+    monkeypatch.setattr(common, "ranges", None)
+    texts = ["The cat", "", "cat\tthe  CAT\n", " verylongword verylongworD verylongwörd ", "x", "y x"]
+    data = [t.encode() for t in texts]
+    tokens = class_lm.Tokens(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    got = [[tokens.found[i] for i in tokens.place[a:b]] for a, b in zip(tokens.bounds, tokens.bounds[1:], strict=False)]
+    assert got == [re.findall(rb"[^\x20\x09-\x0d]+", t.lower()) for t in data] and len(set(tokens.found)) == len(tokens.found)
+    monkeypatch.setattr(common.Rolling, "span", lambda self, start, end: np.zeros(len(start), np.uint64))
+    found, _, inverse = common.distinct(np.frombuffer(b"abcdefghi1abcdefghi2abcdefghi1", np.uint8), np.array([0, 10, 20]))
+    assert found == [b"abcdefghi1", b"abcdefghi2"] and inverse.tolist() == [0, 1, 0]
