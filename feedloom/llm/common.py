@@ -39,11 +39,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/feedloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: the rows as a Parquet table in the shared folder, which a lost executor does not take with it."""
+#: Rows of a small table that are worth a file.
+FILE_ROWS = 4_096
+#: In a local folder, no checksum files: for each file that is made there, Hadoop has the JVM start processes (chmod), and
+#: until such a process has begun, all memory of the executor's JVM is its memory, too.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
+def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Cuts lineage: the rows as a Parquet table in the shared folder, which a lost executor does not take with it.
+
+    files: as many files at most; whoever gives it knows that the table is small.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    (df if files is None else df.coalesce(files)).write.options(compression="zstd", **PLAIN_FILES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -68,6 +78,10 @@ def released(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
     return task
 
 
+def files_for(rows: int) -> int:
+    return 1 + rows // FILE_ROWS
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, names: tuple[str, ...], text: str =
                 columns = [*(batch.column(i).slice(at, end - at) for i in (0, 1)), shapes, words]
                 yield pa.RecordBatch.from_arrays(columns, ["dk", "y", "shape", "words"])
 
-    features = written(sampled.mapInArrow(released(run), "dk long, y array<double>, shape array<double>, words array<binary>"), "labelled-features")
+    features = written(sampled.mapInArrow(released(run), "dk long, y array<double>, shape array<double>, words array<binary>"), "labelled-features", 16)
     got = features.select("dk", "y", "shape").toArrow()  # at most `sample` rows
     n, k = got.num_rows, len(names)
     if not n:

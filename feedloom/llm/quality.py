@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import text_of, written
+from feedloom.llm.common import files_for, text_of, written
 from feedloom.llm.evidence import fit, probabilities
 
 #: Limits of the pseudo-counts of a prior.
@@ -36,7 +36,7 @@ def _strength(groups: DataFrame, rate: str, n: str, k: str) -> float:
 
 def priors(scored: DataFrame) -> tuple[DataFrame, float]:
     """(source, lang, host_rate, path_rate) of every path, written to the shared folder, and the global rate."""
-    paths = written(scored.groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("p").alias("k")), "paths")
+    paths = written(scored.groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("p").alias("k")), "paths", files_for(scored.count()))
     n, k = paths.agg(F.sum("n"), F.sum("k")).first()
     rate = ((k or 0) + 1) / ((n or 0) + 2)
     hosts = paths.groupBy("source").agg(F.sum("n").alias("hn"), F.sum("k").alias("hk")).withColumn("rate", F.lit(rate))
@@ -45,7 +45,7 @@ def priors(scored: DataFrame) -> tuple[DataFrame, float]:
     joined = paths.join(hosts, "source")
     m = _strength(joined, "host_rate", "n", "k")
     shrunk = (F.col("k") + m * F.col("host_rate")) / (F.col("n") + m)
-    return written(joined.select("source", "lang", "host_rate", shrunk.alias("path_rate")), "priors"), rate
+    return written(joined.select("source", "lang", "host_rate", shrunk.alias("path_rate")), "priors", files_for(paths.count())), rate
 
 
 def _logit(x: Column) -> Column:

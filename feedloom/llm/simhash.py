@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import at_space, chunks, keyed, mixed, pieces, ranges, released, text_bytes, text_of, written
+from feedloom.llm.common import at_space, chunks, files_for, keyed, mixed, pieces, ranges, released, text_bytes, text_of, written
 from feedloom.llm.components import components, forest
 from feedloom.llm.words import words_of
 from feedloom.llm.xxh import xxh64
@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, text: st
     """
     rows = written(fingerprints(docs, shingle, text, bits), "fingerprints")
     node = F.first("fp") if bits == 64 else F.min("dk")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), node.alias("node")), "distinct-fingerprints")
+    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), node.alias("node")), "distinct-fingerprints", files_for(rows.count()))
     roots = components(links(distinct.select("node", "fp"), radius)).withColumnRenamed("node", "linked")
     rooted = distinct.join(roots, F.col("node") == F.col("linked"), "left").select("fp", "first", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
