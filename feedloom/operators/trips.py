@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.functions import scalar as s
+from feedloom.functions.assignment import assigned
 from feedloom.functions.kernels import BRINGS, TAKES, merged_patterns, pattern_edits, sequence_containment, sequence_similarity
 from feedloom.operators.graph import cut, greedy, greedy_classes
 from feedloom.plans.config import Matching
@@ -171,6 +173,17 @@ def _slim(classes: DataFrame, side: str) -> DataFrame:
     return cut(_visiting(classes, side).withColumns(ends).drop(f"{side}_places", f"{side}_times"))
 
 
+def _met(classes: dict[str, DataFrame], keys: list[str], within: float) -> DataFrame:
+    """keys, meetings, calls: how many times the classes of a group meet at a place within `within` minutes or a little more."""
+    span = lambda c: F.floor(F.col(c) / within)
+    visits = {side: x.select(*keys, F.explode(F.array_distinct(_visits(f"{side}_places", f"{side}_times"))).alias("v")).select(*keys, "v.*") for side, x in classes.items()}
+    a = visits["old"].groupBy(*keys, "p", span("t").alias("span")).agg(F.count("*").alias("a"))
+    b = visits["new"].withColumn("span", F.explode(F.array(span("t") - 1, span("t"), span("t") + 1))).groupBy(*keys, "p", "span").agg(F.count("*").alias("b"))
+    calls = [x.groupBy(*keys).agg(F.sum(F.size(f"{side}_places") + F.size("members")).alias(side)) for side, x in classes.items()]
+    met = a.join(b, [*keys, "p", "span"]).groupBy(*keys).agg(F.sum(F.col("a").cast("double") * F.col("b")).alias("meetings"))
+    return met.join(calls[0], keys).join(calls[1], keys).select(*keys, "meetings", (F.col("old") + F.col("new")).alias("calls"))
+
+
 def _meetings(old: DataFrame, new: DataFrame, keys: list[str], within: float) -> int:
     """How many times classes meet at a place within `within` minutes or a little more."""
     span = lambda c: F.floor(F.col(c) / within)
@@ -181,24 +194,45 @@ def _meetings(old: DataFrame, new: DataFrame, keys: list[str], within: float) ->
 
 #: Meetings of classes that one step may compare.
 MEETINGS = 20_000_000
+#: Meetings up to which tables of their pairs are small; and calls and members of a group that one task may hold.
+FEW, HELD = 100_000, 2_000_000
+#: What the share of a comparison is relative to: the shorter pattern or the longer one.
+SHORTER = {sequence_containment: True, sequence_similarity: False}
+
 
+def _alone(classes: dict[str, DataFrame], groups: DataFrame, keys: list[str], measure, least: float, within: int, most: float | None, ends: bool) -> DataFrame:
+    """keys, old_trip, new_trip, kind that one-to-one assignment takes in groups of which each fits a task."""
+    sides = (x.join(groups, keys, "left_semi").select(*keys, F.lit(side).alias("side"), "members", *[F.col(f"{side}_{c}").alias(c) for c in ("places", "times", "dep")], F.size(f"{side}_places").alias("calls")) for side, x in classes.items())
+    both = next(sides).unionByName(next(sides))
+    schema = T.StructType([*(both.schema[k] for k in keys), *(T.StructField(c, T.StringType()) for c in ("old_trip", "new_trip", "kind"))])
+    return both.groupBy(*keys).applyInArrow(assigned(keys, SHORTER[measure], least, within, most, ends), schema)
 
-def _assigned(old: DataFrame, new: DataFrame, keys: list[str], measure, least: float, within: int, most: float | None, shown: F.Column | None = None) -> DataFrame:
+
+def _assigned(old: DataFrame, new: DataFrame, keys: list[str], measure, least: float, within: int, most: float | None, ends: bool = False) -> DataFrame:
     """The pairs that one-to-one assignment takes by cost; `measure` compares each pair of patterns once.
 
-    Trips with equal places and times are one class, and classes meet, not trips; pairs carry the numbers of their lists. Where too many meet at once, pairs of small
+    Trips with equal places and times are one class, and classes meet, not trips; pairs carry the numbers of their lists. Where
+    many meet, groups that fit a task are assigned in one each. In larger groups, pairs of small
     cost are found and assigned first, among trips that are closer to each other; what stays free then meets in wider spans.
-    No pair costs less than its shift alone, so none that comes earlier is missed.
+    No pair costs less than its shift alone, so none that comes earlier is missed. ends: pairs share their first or last place.
     """
-    patterns, classes = _numbered({"old": _classes(old, keys, "old"), "new": _classes(new, keys, "new")}, "places", "pattern")
+    classes = {"old": _classes(old, keys, "old"), "new": _classes(new, keys, "new")}
+    met, parts, done = cut(_met(classes, keys, within)), [], 0.0
+    if (met.agg(F.sum("meetings")).first()[0] or 0) > min(FEW, MEETINGS):
+        fits = (F.col("meetings") <= MEETINGS) & (F.col("calls") <= HELD)
+        parts.append(_alone(classes, met.where(fits), keys, measure, least, within, most, ends))
+        if met.where(~fits).isEmpty():
+            return cut(parts[0])
+        classes = {side: x.join(met.where(~fits), keys, "left_semi") for side, x in classes.items()}
+    patterns, classes = _numbered(classes, "places", "pattern")
     olds, news = (_slim(x, side) for side, x in _numbered(classes, "times", "run")[1].items())
-    parts, done = [], 0.0
+    end = lambda at: F.col(f"old_{at}") == F.col(f"new_{at}")
     while done < within:
         span = float(within)
         while span >= max(2.0, 4 * done) and _meetings(olds, news, keys, span) > MEETINGS:
             span /= 2
         near = _near(olds.withColumnRenamed("id", "old_trip").drop("members"), news.withColumnRenamed("id", "new_trip").drop("members"), keys, span)
-        near = near if shown is None else near.where(shown)
+        near = near.where(end("first") | end("last")) if ends else near
         near = cut(near.select(*keys, "old_trip", "new_trip", "old_pattern", "new_pattern", "old_run", "new_run", "old_dep", "new_dep", "shift", F.exists("delays", lambda d: d > 0).alias("late")))
         named = lambda side: patterns.select(F.col("places").alias(f"{side}_places"), F.col("pattern").alias(f"{side}_pattern"))
         compared = near.select("old_pattern", "new_pattern").distinct().join(named("old"), "old_pattern").join(named("new"), "new_pattern")
@@ -289,8 +323,7 @@ def match_moved_trips(day_trips: DataFrame, matched: DataFrame, cfg: Matching |
     cfg, keys = cfg or Matching(), ["pair_id", "day_type"]
     left = matched.where("kind in ('removed', 'added')").select(*keys, F.when(F.col("kind") == "removed", "old").otherwise("new").alias("side"), F.coalesce("old_trip", "new_trip").alias("trip_id"))
     rest = cut(day_trips.join(left, [*keys, "side", "trip_id"]))
-    end = lambda at: F.col(f"old_{at}") == F.col(f"new_{at}")
-    return _assigned(_sided(rest, keys, "old"), _sided(rest, keys, "new"), keys, sequence_containment, cfg.cross_line_min_containment, cfg.cross_line_max_shift_min, None, end("first") | end("last"))
+    return _assigned(_sided(rest, keys, "old"), _sided(rest, keys, "new"), keys, sequence_containment, cfg.cross_line_min_containment, cfg.cross_line_max_shift_min, None, ends=True)
 
 
 def timetable_order(matched: DataFrame, day_trips: DataFrame) -> DataFrame:
