@@ -17,8 +17,10 @@ import pyarrow.compute as pc
 
 from feedloom.functions.kernels import blocks
 
-#: Pairs of visits that a step should meet, and cells of an array of theirs at once.
-STEP, CELLS = 1 << 20, 1 << 21
+#: Pairs of visits that a step should meet, pairs of trips below which the next one is wider, and cells of an array at once.
+STEP, WIDER, CELLS = 1 << 22, 1 << 18, 1 << 21
+#: Slots of places in which the members of patterns are counted.
+SLOTS = 16
 #: Cells of a table of all new trips and places; beyond it, times are searched.
 DENSE = 1 << 24
 #: Pairs of patterns whose matched places a worker keeps.
@@ -107,6 +109,12 @@ class Group:
         known: dict[bytes, int] = {}
         self.old_pattern, self.new_pattern = old.patterns(known), new.patterns(known)
         self.names = list(known)
+        self.counts = np.zeros((len(known), SLOTS), np.uint16)
+        for side, pattern in ((old, self.old_pattern), (new, self.new_pattern)):
+            _, one = np.unique(pattern, return_index=True)
+            member = ranges(side.at[one], side.length[one])
+            count = np.bincount(np.repeat(pattern[one], side.length[one]) * SLOTS + side.place[member] % SLOTS, minlength=self.counts.size)
+            self.counts = np.maximum(self.counts, np.minimum(count, 65535).reshape(-1, SLOTS).astype(np.uint16))
         self.most = float(np.floor(UNIT * (2 - least if most is None else min(most, 2 - least)) + 1e-6))
         self.tips = [(old.end(last), new.end(last)) for last in (False, True)]
         self.lengths, self.rank = np.unique(new.length, return_inverse=True)
@@ -123,7 +131,19 @@ class Group:
 
     def bound(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The largest share that different patterns of these lengths can have."""
-        return np.where(a == b, a - 1, np.minimum(a, b)) / np.maximum(np.minimum(a, b) if self.shorter else np.maximum(a, b), 1)
+        return np.where(a == b, a - 1, np.minimum(a, b)) / self.whole(a, b)
+
+    def whole(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """What a share of patterns of these lengths is relative to."""
+        return np.maximum(np.minimum(a, b) if self.shorter else np.maximum(a, b), 1)
+
+    def best(self, o: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The largest share that trips can have by the lengths of their patterns and by how often these have each place."""
+        p, q = self.old_pattern[o], self.new_pattern[n]
+        a, b = self.old.length[o], self.new.length[n]
+        common = np.minimum(self.counts[p], self.counts[q]).sum(1, dtype=np.int64)
+        common[np.maximum(a, b) > 65535] = NONE  # counts end there
+        return np.where(p == q, 1.0, np.minimum(self.bound(a, b), common / self.whole(a, b)))
 
     def spans(self, cost: float) -> tuple[list, int]:
         """(for each way to meet, the old visits, and from where to where new ones are close enough, with those; their number)."""
@@ -221,13 +241,17 @@ class Group:
         for pairs in self.met(found, total):
             for i in range(0, len(pairs), size := max(1, CELLS // 16)):
                 o, n = pairs[i : i + size] // self.new.n, pairs[i : i + size] % self.new.n
-                shift, late = self.shifts(o, n)
-                p, q = self.old_pattern[o], self.new_pattern[n]
-                best = np.where(p == q, 1.0, self.bound(self.old.length[o], self.new.length[n]))
-                keep = (shift <= self.within) & (shift / self.within + 1 - best <= cost / UNIT + 2e-6)
+                best = self.best(o, n)
+                keep = (best >= self.least) & (1 - best <= cost / UNIT + 2e-6)
                 if self.ends:
                     keep &= np.logical_or(*((x[o] == y[n]) & (x[o] >= 0) for x, y in self.tips))
-                o, n, shift, late, p, q = (x[keep] for x in (o, n, shift, late, p, q))
+                o, n, best = o[keep], n[keep], best[keep]
+                if not len(o):
+                    continue
+                shift, late = self.shifts(o, n)
+                keep = (shift <= self.within) & (shift / self.within + 1 - best <= cost / UNIT + 2e-6)
+                o, n, shift, late = (x[keep] for x in (o, n, shift, late))
+                p, q = self.old_pattern[o], self.new_pattern[n]
                 share = self.shares(p, q)
                 whole = millionths(shift / self.within + (1 - share))
                 keep = (share >= self.least) & (whole <= cost)
@@ -273,10 +297,10 @@ class Group:
             if total > STEP and step > UNIT / (2 * self.within):
                 step /= 2
                 continue
-            if total:
-                out.append(np.array(list(self.taken(*self.edges(found, total, cost))), np.int64).reshape(-1, 6))
+            edges = self.edges(found, total, cost)
+            out.append(np.array(list(self.taken(*edges)), np.int64).reshape(-1, 6))
             done = cost
-            step = step * 2 if total < STEP // 3 else step
+            step = step * 2 if len(edges[0]) < WIDER else step
             if not ((self.used_old < self.old.size).any() and (self.used_new < self.new.size).any()):
                 break
         return np.concatenate(out)
