@@ -109,12 +109,13 @@ class Group:
         known: dict[bytes, int] = {}
         self.old_pattern, self.new_pattern = old.patterns(known), new.patterns(known)
         self.names = list(known)
-        self.counts = np.zeros((len(known), SLOTS), np.uint16)
+        slots = max(1, min(SLOTS, int(max(x.place.max(initial=0) for x in (old, new))) + 1))
+        self.counts = np.zeros((slots, len(known)), np.uint16)
         for side, pattern in ((old, self.old_pattern), (new, self.new_pattern)):
             _, one = np.unique(pattern, return_index=True)
             member = ranges(side.at[one], side.length[one])
-            count = np.bincount(np.repeat(pattern[one], side.length[one]) * SLOTS + side.place[member] % SLOTS, minlength=self.counts.size)
-            self.counts = np.maximum(self.counts, np.minimum(count, 65535).reshape(-1, SLOTS).astype(np.uint16))
+            count = np.bincount(side.place[member] % slots * len(known) + np.repeat(pattern[one], side.length[one]), minlength=self.counts.size)
+            self.counts = np.maximum(self.counts, np.minimum(count, 65535).reshape(slots, -1).astype(np.uint16))
         self.most = float(np.floor(UNIT * (2 - least if most is None else min(most, 2 - least)) + 1e-6))
         self.tips = [(old.end(last), new.end(last)) for last in (False, True)]
         self.lengths, self.rank = np.unique(new.length, return_inverse=True)
@@ -141,7 +142,7 @@ class Group:
         """The largest share that trips can have by the lengths of their patterns and by how often these have each place."""
         p, q = self.old_pattern[o], self.new_pattern[n]
         a, b = self.old.length[o], self.new.length[n]
-        common = np.minimum(self.counts[p], self.counts[q]).sum(1, dtype=np.int64)
+        common = sum((np.minimum(x[p], x[q]).astype(np.int64) for x in self.counts), np.zeros(len(p), np.int64))
         common[np.maximum(a, b) > 65535] = NONE  # counts end there
         return np.where(p == q, 1.0, np.minimum(self.bound(a, b), common / self.whole(a, b)))
 

@@ -31,7 +31,7 @@ def calls(rows: DataFrame, place_of_stop: DataFrame) -> DataFrame:
 def assembled(call: DataFrame, keys: list[str]) -> DataFrame:
     """keys, places, times, dwell: calls in order of sequence, place and time, a missing time first."""
     ordered = F.array_sort(F.collect_list(F.struct("seq", "place_id", "time")))
-    out = call.groupBy(*keys).agg(ordered.alias("c"), F.sum("dwell").cast("int").alias("dwell"))
+    out = call.repartition(*keys).groupBy(*keys).agg(ordered.alias("c"), F.sum("dwell").cast("int").alias("dwell"))
     return out.select(*keys, F.transform("c", lambda c: c["place_id"]).alias("places"), F.transform("c", lambda c: c["time"]).alias("times"), "dwell")
 
 
@@ -175,10 +175,10 @@ def _slim(classes: DataFrame, side: str) -> DataFrame:
 
 def _met(classes: dict[str, DataFrame], keys: list[str], within: float) -> DataFrame:
     """keys, meetings, calls: how many times the classes of a group meet at a place within `within` minutes or a little more."""
-    span = lambda c: F.floor(F.col(c) / within)
-    visits = {side: x.select(*keys, F.explode(F.array_distinct(_visits(f"{side}_places", f"{side}_times"))).alias("v")).select(*keys, "v.*") for side, x in classes.items()}
-    a = visits["old"].groupBy(*keys, "p", span("t").alias("span")).agg(F.count("*").alias("a"))
-    b = visits["new"].withColumn("span", F.explode(F.array(span("t") - 1, span("t"), span("t") + 1))).groupBy(*keys, "p", "span").agg(F.count("*").alias("b"))
+    span = F.floor(F.col("t") / within).alias("span")
+    visits = {side: x.select(*keys, F.explode(F.arrays_zip(F.col(f"{side}_places").alias("p"), F.col(f"{side}_times").alias("t"))).alias("v")).select(*keys, "v.p", "v.t").where("t is not null") for side, x in classes.items()}
+    a, b = (x.groupBy(*keys, "p", span).agg(F.count("*").alias(n)) for n, x in zip("ab", (visits["old"], visits["new"]), strict=True))
+    b = b.withColumn("span", F.explode(F.array(F.col("span") - 1, F.col("span"), F.col("span") + 1)))
     calls = [x.groupBy(*keys).agg(F.sum(F.size(f"{side}_places") + F.size("members")).alias(side)) for side, x in classes.items()]
     met = a.join(b, [*keys, "p", "span"]).groupBy(*keys).agg(F.sum(F.col("a").cast("double") * F.col("b")).alias("meetings"))
     return met.join(calls[0], keys).join(calls[1], keys).select(*keys, "meetings", (F.col("old") + F.col("new")).alias("calls"))
@@ -270,8 +270,8 @@ def _with_partners(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame
     by keys, places and times brings together all that this needs; what holds a null there has no partner.
     """
     sides = (x.select(*keys, F.lit(p).alias("side"), *[F.col(f"{p}_{c}").alias(c) for c in ("trip", "places", "times", "dep", "nth")]) for x, p in ((old, "old"), (new, "new")))
-    run = [*keys, "places", "times"]
-    both = next(sides).unionByName(next(sides)).repartition(*run).withColumn("whole", F.expr(" and ".join(f"`{c}` is not null" for c in [*run, "trip"])))
+    run = ["hash", *keys, "places", "times"]  # a number comes first, so that rows sort by it before their lists
+    both = next(sides).unionByName(next(sides)).withColumn("hash", F.xxhash64(*run[1:])).repartition("hash").withColumn("whole", F.expr(" and ".join(f"`{c}` is not null" for c in [*run, "trip"])))
     kept = W.partitionBy(*run, "trip")
     both = both.withColumn("kept", F.when(F.min("side").over(kept) != F.max("side").over(kept), F.col("trip")))
     both = both.withColumn("n", F.when(F.col("kept").isNull(), F.row_number().over(W.partitionBy(*run, "kept", "side").orderBy("nth"))))
