@@ -1,7 +1,7 @@
 """Trips of a day, their matching, pattern edits and timetables.
 
-A combo is (pair_id, group_key, direction, day_type). Trips pair in joins and rounds over tables; Python sees each pair of
-patterns once, and of trips only the ids of classes that tie.
+A combo is (pair_id, group_key, direction, day_type). Trips pair in joins and rounds over tables, where Python sees each pair
+of patterns once, and of trips only the ids of classes that tie; groups in which many trips meet pair in a task each.
 """
 
 from __future__ import annotations
